@@ -42,10 +42,25 @@ def non_empty_hex(x) -> Column:
     return x.isNotNull() & (x != "") & (x != "0x")
 
 
-def rpc_payload(method: str, params: Column, id_col) -> Column:
-    """JSON-RPC 2.0 request text {id, jsonrpc, method, params}."""
-    return F.to_json(F.struct(_c(id_col).alias("id"), F.lit("2.0").alias("jsonrpc"),
-                              F.lit(method).alias("method"), params.alias("params")))
+def json_str(x) -> Column:
+    """A string column as a JSON string literal (quoted, escaped)."""
+    return F.regexp_replace(F.to_json(F.array(_c(x))), r"^\[|\]$", "")
+
+
+def json_obj(**fields) -> Column:
+    """JSON object text with the given fields in order; NULL fields are written as null."""
+    return F.to_json(F.struct(*[_c(v).alias(k) for k, v in fields.items()]), {"ignoreNullFields": "false"})
+
+
+def json_array(*texts) -> Column:
+    """JSON array text from JSON texts (heterogeneous elements allowed)."""
+    return F.concat(F.lit("["), F.concat_ws(",", *texts), F.lit("]"))
+
+
+def rpc_payload(method: str, params_json, id_col) -> Column:
+    """JSON-RPC 2.0 request text {id, jsonrpc, method, params}; params is JSON text."""
+    head = F.to_json(F.struct(_c(id_col).alias("id"), F.lit("2.0").alias("jsonrpc"), F.lit(method).alias("method")))
+    return F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"params":'), params_json, F.lit("}"))
 
 
 def batch_no(row_num, size: int) -> Column:

@@ -1,5 +1,5 @@
 """Composable DataFrame operators."""
-from .backlog import (backlog, block_spine, chain_head, head_delay, lookback_block, newest, number_spine,
+from .backlog import (missing_keys, block_spine, chain_head, head_delay, lookback_block, newest, number_spine,
                       pack_batches, split_backlog, top_n, update_ledger, with_batch_columns, work_backlog)
 from .checks import (childless, counts_match, evaluate, fresh, matches, not_null, one_parent, orphans, scope,
                      sequence_gaps, store_failures, type_in, unique_on)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hexnum import bucket1000, hex_to_bigint, int_to_hex
-from ..functions.keys import batch_no, row_in_batch, rpc_payload
+from ..functions.keys import batch_no, json_array, json_str, row_in_batch, rpc_payload
 from .latest import latest_per_key, sort_columns
 from .sinks import upsert
 
@@ -72,7 +72,7 @@ def update_ledger(ledger: DataFrame | None, raw: DataFrame, keys: list[str],
     return upsert(ledger, batch, keys, "merge")
 
 
-def backlog(spine: DataFrame, ledger: DataFrame, keys: list[str]) -> DataFrame:
+def missing_keys(spine: DataFrame, ledger: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of the spine not yet in the ledger: EXCEPT (distinct, NULL-safe)."""
     return spine.select(*keys).subtract(ledger.select(*keys))
 
@@ -91,10 +91,10 @@ def work_backlog(spine: DataFrame, ledger: DataFrame, method: str, keys=("block_
                  since_block: int | None = None, cap: int = REALTIME_CAP, params=None) -> DataFrame:
     """Missing keys, newest first, capped, each with its JSON-RPC request."""
     keys = list(keys)
-    todo = backlog(spine, ledger, keys)
+    todo = missing_keys(spine, ledger, keys)
     if since_block is not None:
         todo = todo.where(F.col("block_number") >= since_block)
-    params = params or (lambda: F.array(int_to_hex("block_number"), F.lit(True).cast("string")))
+    params = params or (lambda: json_array(json_str(int_to_hex("block_number")), F.lit("true")))
     out = todo.select(*keys, bucket1000("block_number").cast("bigint").alias("partition_key"),
                       rpc_payload(method, params(), F.col("block_number")).alias("request"))
     return newest(out, ["partition_key desc", *[f"{k} desc" for k in keys]], cap)

@@ -39,6 +39,9 @@ def global_position(df: DataFrame, order, name: str = "row_num", n: int | None =
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_lpos", F.monotonically_increasing_id()
                      - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+    # range bounds come from sampling and the id from row order: materialise the
+    # tagged rows once (reliable checkpoint) so counts and rows agree exactly
+    s = s.checkpoint(eager=True)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per partition: the running offset is a tiny single-task window
     offs = counts.withColumn(
