@@ -634,3 +634,30 @@ def q_check_freshness(spark, sf):
     return CK.fresh(T(spark, sf, "events"), "ts", NOW, dt.timedelta(hours=2))
 
 
+
+
+# ------------------------------------------------------------- streaming
+@query("stream_upsert", """
+SELECT user_id, event_id, ts, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def q_stream_upsert(spark, sf):
+    """The events file as a stream (availableNow, one file per trigger), upserted per user."""
+    from ..streaming import read_stream, upsert_stream, work_dir
+    schema = T(spark, sf, "events").schema
+    s = read_stream(spark, sf, schema, glob="events.parquet", max_files=1)
+    s = s.select("user_id", "event_id", "ts", "event_type", "value")
+    base = work_dir(spark, "stream_upsert")
+    path = upsert_stream(s, f"{base}/table", ["user_id"], ["ts desc", "event_id desc"], f"{base}/_checkpoint")
+    return spark.read.parquet(path)
+
+
+@query("stream_counters", """
+SELECT user_id, count(*)::BIGINT AS n_events, max(ts) AS last_ts FROM events GROUP BY user_id""")
+def q_stream_counters(spark, sf):
+    from ..streaming import counters_stream, read_stream, work_dir
+    schema = T(spark, sf, "events").schema
+    s = read_stream(spark, sf, schema, glob="events.parquet")
+    base = work_dir(spark, "stream_counters")
+    out = counters_stream(s, "user_id", {"n_events": F.count(F.lit(1)), "last_ts": F.max("ts")},
+                          f"{base}/_checkpoint", f"{base}/table")
+    return out.select("user_id", F.col("n_events").cast("bigint"), "last_ts")
