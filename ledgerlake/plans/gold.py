@@ -196,7 +196,9 @@ def fact_event_logs(receipts: DataFrame, blocks: DataFrame, txs: DataFrame, run_
         missing = target.where(F.col("block_timestamp").isNull() | F.col("origin_function_signature").isNull())
         again = missing.select(*[c for c in LOG_COLS if c not in ("block_timestamp", "origin_function_signature")])
         rows = rows.unionByName(_log_lookups(again, blocks, txs, None).select(*LOG_COLS))
-    rows = latest_per_key(rows, ["tx_hash", "event_index"], LOG_ORDER, tiebreak=["tx_position", "contract_address"])
+        # only a heal can bring a second row for a key (receipts are unique per tx)
+        rows = latest_per_key(rows, ["tx_hash", "event_index"], LOG_ORDER,
+                              tiebreak=["tx_position", "contract_address"])
     return with_audit(rows.withColumn("fact_event_logs_id", surrogate_key("tx_hash", "event_index")), run_ts)
 
 
@@ -249,7 +251,8 @@ def fact_traces(silver_traces: DataFrame, txs: DataFrame, run_ts: dt.datetime,
     if target is not None:
         missing = target.where(F.col("block_timestamp").isNull() | F.col("tx_succeeded").isNull())
         rows = rows.unionByName(_trace_lookup(missing.select(*TRACE_COLS), txs, None).select(*TRACE_COLS))
-    rows = latest_per_key(rows, ["block_number", "tx_position", "trace_index"], TRACE_ORDER,
-                          tiebreak=["trace_address"])
+        # silver is one row per node, so only healed rows can compete for a key
+        rows = latest_per_key(rows, ["block_number", "tx_position", "trace_index"], TRACE_ORDER,
+                              tiebreak=["trace_address"])
     rows = rows.withColumn("fact_traces_id", surrogate_key("block_number", "tx_position", "trace_index"))
     return with_audit(rows, run_ts)
