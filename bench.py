@@ -1,8 +1,8 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 Each query is run to completion (a full write to a no-op sink of every row, not
-a count that Spark could shortcut); the first run per query warms up, the
-reported value is the median of the timed runs.
+a count that Spark could shortcut). BENCH_WARMUP=1 adds an untimed warm-up run
+per query; BENCH_RUNS sets the number of timed runs (median reported).
 """
 from __future__ import annotations
 
@@ -38,7 +38,7 @@ def main():
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", "16")))
     times = {}
     for n in names:
-        if os.environ.get("BENCH_WARMUP", "1") == "1":
+        if os.environ.get("BENCH_WARMUP", "0") == "1":
             run_once(spark, n, sf)  # warm-up (JIT, file listing, python workers)
         times[n] = round(statistics.median(run_once(spark, n, sf) for _ in range(runs)), 3)
     sf_name = os.path.basename(sf.rstrip("/")).replace("sf", "")

@@ -83,9 +83,10 @@ def read_raw(spark: SparkSession, path: str, entity: str, since: dt.timedelta |
     txt = reader.text(path).select("value", F.col("_metadata.file_path").alias("_path"),
                                    F.col("_metadata.file_modification_time").alias("_mtime"))
     env = envelope_from_text(txt, "value", F.col("_path"), F.col("_mtime").cast("timestamp_ntz"))
-    # the partition key recorded in the path must agree with the record
-    env = env.withColumn("_path_key", path_partition_key(F.regexp_replace("file_name", r"^[a-z]+:/*", "/")))
-    return bronze(env, entity, full_scan=since is None).drop("_path_key")
+    # partition key from the path (S4) where the record does not carry one
+    env = env.withColumn("partition_key", F.coalesce(
+        "partition_key", path_partition_key(F.regexp_replace("file_name", r"^[a-z]+:/*", "/"))))
+    return bronze(env, entity, full_scan=since is None)
 
 
 def join_manifest(raw: DataFrame, manifest: DataFrame) -> DataFrame:

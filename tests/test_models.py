@@ -34,3 +34,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_read_raw_files(spark, tmp_path):
+    from ledgerlake.sources import read_raw
+    d = tmp_path / "raw" / "blocks"
+    d.mkdir(parents=True)
+    (d / "3435000_1.json").write_text("\n".join(BLOCK_LINES) + "\n")
+    b = read_raw(spark, str(tmp_path / "raw" / "blocks"), "blocks")
+    rows = b.select("block_number", "partition_key", "file_name").collect()
+    assert sorted(r.block_number for r in rows) == [3435200, 3435201]
+    assert all(r.partition_key == 3435000 and r.file_name.endswith("3435000_1.json") for r in rows)
