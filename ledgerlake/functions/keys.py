@@ -78,6 +78,11 @@ def path_partition_key(path) -> Column:
     return F.split_part(seg, F.lit("_"), F.lit(1)).try_cast("int")
 
 
+def lit_ts(value) -> Column:
+    """A Python datetime as a TIMESTAMP_NTZ literal, independent of any time zone."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def greatest_ts(*cols, floor: str = "2000-01-01 00:00:00") -> Column:
     """GREATEST with a NULL floor per argument."""
     return F.greatest(*[F.coalesce(_c(c), F.lit(floor).cast("timestamp_ntz")) for c in cols])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hexnum import bucket1000, hex_to_bigint, int_to_hex
-from ..functions.keys import batch_no, json_array, json_str, row_in_batch, rpc_payload
+from ..functions.keys import lit_ts, batch_no, json_array, json_str, row_in_batch, rpc_payload
 from .latest import latest_per_key, sort_columns
 from .sinks import upsert
 
@@ -53,7 +53,7 @@ def lookback_block(blocks: DataFrame, now: dt.datetime, hours: int = LOOKBACK_HO
     """Smallest block in the hour [trunc_hour(now) - hours, +1h), 0 when none (F8)."""
     top = now.replace(minute=0, second=0, microsecond=0)
     lo, hi = top - dt.timedelta(hours=hours), top - dt.timedelta(hours=hours - 1)
-    r = (blocks.where((F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi)))
+    r = (blocks.where((F.col(ts) >= lit_ts(lo)) & (F.col(ts) < lit_ts(hi)))
          .agg(F.coalesce(F.min(col), F.lit(0)).alias("b")).first())
     return int(r["b"])
 

@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import lit_ts
 from .joins import join_keys
 from .numbering import number_within
 
@@ -45,7 +46,7 @@ def matches(df: DataFrame, col: str, regex: str, where=None) -> DataFrame:
 def fresh(df: DataFrame, ts: str, now: dt.datetime, within: dt.timedelta) -> DataFrame:
     """One failing row when the newest value is older than now - within (or no rows)."""
     newest = df.agg(F.max(ts).alias("newest"))
-    return newest.where(F.col("newest").isNull() | (F.col("newest") < F.lit(now - within)))
+    return newest.where(F.col("newest").isNull() | (F.col("newest") < lit_ts(now - within)))
 
 
 def sequence_gaps(df: DataFrame, col: str, partition_by: list[str] | None = None, where=None) -> DataFrame:

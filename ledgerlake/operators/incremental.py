@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import lit_ts
 from .joins import join_keys
 from .latest import latest_per_key
 
@@ -36,7 +37,8 @@ def since(df: DataFrame, col: str, mark, inclusive: bool = True, overlap: dt.tim
     if overlap is not None:
         m = m - overlap
     c = F.col(col)
-    return df.where(c >= F.lit(m) if inclusive else c > F.lit(m))
+    lit = lit_ts(m) if isinstance(m, dt.datetime) else F.lit(m)
+    return df.where(c >= lit if inclusive else c > lit)
 
 
 def heal(target: DataFrame, is_missing: Column, refill) -> DataFrame:

@@ -321,11 +321,11 @@ def _orders_batch(spark, sf):
     """Target = orders dated before 1998; batch = orders from 1998 on plus a re-delivery
     of every order of status 'P' with a new price (updates of existing keys)."""
     o = T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    target = o.where(F.col("o_orderdate") < F.lit(dt.datetime(1998, 1, 1)))
-    late = o.where(F.col("o_orderdate") >= F.lit(dt.datetime(1998, 1, 1)))
+    target = o.where(F.col("o_orderdate") < LF.lit_ts(dt.datetime(1998, 1, 1)))
+    late = o.where(F.col("o_orderdate") >= LF.lit_ts(dt.datetime(1998, 1, 1)))
     changed = target.where(F.col("o_orderstatus") == "P").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    target = target.withColumn("first_seen", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz"))
-    batch = late.unionByName(changed).withColumn("first_seen", F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz"))
+    target = target.withColumn("first_seen", LF.lit_ts(dt.datetime(2024, 1, 1)))
+    batch = late.unionByName(changed).withColumn("first_seen", LF.lit_ts(dt.datetime(2024, 2, 1)))
     return target, batch
 
 
@@ -365,7 +365,7 @@ def q_heal_late(spark, sf):
     run heals the rows whose block was missing. The result equals a one-shot build."""
     c = chain(spark, sf)
     blocks = c.gold("blocks")
-    early = blocks.where(F.col("block_timestamp") < F.lit(dt.datetime(1998, 1, 1)))
+    early = blocks.where(F.col("block_timestamp") < LF.lit_ts(dt.datetime(1998, 1, 1)))
     run1 = dt.datetime(2024, 2, 1)
     first = GD.fact_transactions(c.silver("transactions"), early, c.silver("receipts"), run1)
     first = first.checkpoint()
@@ -387,8 +387,8 @@ def q_running_counts(spark, sf):
         return df.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"),
                                          F.sum((F.col("event_type") == "purchase").cast("int")).cast("bigint")
                                          .alias("n_purchases"), F.max("ts").alias("last_ts"))
-    b1 = batch(ev.where(F.col("ts") < F.lit(SPLIT_TS)))
-    b2 = batch(ev.where(F.col("ts") >= F.lit(SPLIT_TS)))
+    b1 = batch(ev.where(F.col("ts") < LF.lit_ts(SPLIT_TS)))
+    b2 = batch(ev.where(F.col("ts") >= LF.lit_ts(SPLIT_TS)))
     s1 = INC.add_totals(None, b1, "user_id", ["n_events", "n_purchases"], {"last_ts": "last_ts"})
     s2 = INC.add_totals(s1, b2, "user_id", ["n_events", "n_purchases"], {"last_ts": "last_ts"})
     return s2.select("user_id", F.col("n_events").cast("bigint"), F.col("n_purchases").cast("bigint"), "last_ts")
@@ -403,8 +403,8 @@ def q_ledger(spark, sf):
     li = T(spark, sf, "lineitem").select(F.col("l_orderkey").alias("block_number"),
                                          F.concat(F.lit("file_"), F.col("l_linenumber").cast("string"))
                                          .alias("file_name"), F.col("l_shipdate").alias("_inserted_timestamp"))
-    first = li.where(F.col("_inserted_timestamp") < F.lit(dt.datetime(1998, 1, 1)))
-    rest = li.where(F.col("_inserted_timestamp") >= F.lit(dt.datetime(1998, 1, 1)))
+    first = li.where(F.col("_inserted_timestamp") < LF.lit_ts(dt.datetime(1998, 1, 1)))
+    rest = li.where(F.col("_inserted_timestamp") >= LF.lit_ts(dt.datetime(1998, 1, 1)))
     led = BL.update_ledger(None, first, ["block_number"], order=["_inserted_timestamp desc", "file_name desc"])
     return BL.update_ledger(led, rest, ["block_number"], order=["_inserted_timestamp desc", "file_name desc"])
 
