@@ -39,5 +39,10 @@ def maybe_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> Da
     return F.broadcast(df) if rows <= limit else df
 
 
+def whole_row(df: DataFrame, name: str = "_row") -> Column:
+    """All columns as one struct, so that no other name of a plan can clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

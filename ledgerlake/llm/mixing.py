@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.numbering import global_position
-from .common import maybe_broadcast, word_count
+from .common import maybe_broadcast, whole_row, word_count
 from ..session import ensure_checkpoint_dir
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -82,7 +82,7 @@ def with_copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
 
 def mix_sources(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: every document as often as it is taken, with the columns of `docs`."""
-    mixed = with_copies(docs.select(F.struct(*docs.columns).alias("_mx_row"),
+    mixed = with_copies(docs.select(whole_row(docs, "_mx_row"),
                                     F.col(how.pop("id_col", "doc_id")).alias("_mx_id"),
                                     F.col(how.pop("source_col", "source")).alias("_mx_src"),
                                     F.col(how.pop("text_col", "text")).alias("_mx_text")),

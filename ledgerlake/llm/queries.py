@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, pii, tokens
+from . import fingerprints, lines, mixing, pii, simhash, tokens
 from .common import table, word_count
 
 # vocabulary files of public tokenizers: only their path is used
@@ -76,3 +76,18 @@ QUERIES = {
     "op9_mixing": op9_mixing,
 }
 ORACLES = {"op9_mixing": OP9_SQL}
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated and nearly repeated lines."""
+    return lines.with_dropped(table(spark, sf_dir, "documents")).select(
+        "_row.doc_id", "text", F.col("n_lines").cast("bigint"), F.col("n_dropped").cast("bigint"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and group of every document."""
+    grouped = simhash.group_documents(table(spark, sf_dir, "documents"))
+    return grouped.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+QUERIES |= {"op8_line_dedup": op8_line_dedup, "op10_simhash": op10_simhash}
