@@ -3,9 +3,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
+_SHIPPED = "ledgerlake_src.zip"
+
 # Settings the operators assume; applied to a session we create, and checked
 # (not forced) on a session we are handed.
 DEFAULT_CONF = {
@@ -58,3 +61,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that functions which
+    run in tasks can import it whatever the workers' folder or path."""
+    sc = spark.sparkContext
+    if any(f.endswith(_SHIPPED) for f in sc._python_includes):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="ll-ship-"), _SHIPPED)
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("ledgerlake", os.path.relpath(full, here)))
+    sc.addPyFile(path)
