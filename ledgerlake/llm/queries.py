@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, lines, mixing, pii, simhash, tokens
+from . import fingerprints, lines, mixing, pii, simhash, tokens, warc
 from .common import table, word_count
 
 # vocabulary files of public tokenizers: only their path is used
@@ -91,3 +91,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op8_line_dedup": op8_line_dedup, "op10_simhash": op10_simhash}
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through a WARC archive and back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+QUERIES |= {"op7_warc": op7_warc}
