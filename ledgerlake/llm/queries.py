@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, lines, mixing, pii, simhash, tokens, warc
+from . import fingerprints, lines, mixing, packing, pii, simhash, tokens, warc
 from .common import table, word_count
 
 # vocabulary files of public tokenizers: only their path is used
@@ -99,3 +99,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op7_warc": op7_warc}
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY("word_bpe_49k.json"))
+
+
+QUERIES |= {"op6_packing": op6_packing}
