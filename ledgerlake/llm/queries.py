@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, lines, mixing, packing, pii, simhash, tokens, warc
+from . import classifier, fingerprints, knn, lines, mixing, packing, pii, simhash, tokens, warc
 from .common import table, word_count
 
 # vocabulary files of public tokenizers: only their path is used
@@ -107,3 +107,31 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op6_packing": op6_packing}
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, by a network learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = classifier.train(docs, table(spark, sf_dir, "labels"))
+    return classifier.classify(docs, model).select(
+        "_row.doc_id", classifier.held_out(F.col("_row.doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every 20th vector."""
+    return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES |= {"op1_quality": op1_quality, "op3_top_k": op3_top_k}
+OP3_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64.0::DOUBLE * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT * FROM v WHERE vec_id % 20 = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e::DOUBLE[], v.e::DOUBLE[])::BIGINT AS score
+  FROM q JOIN v ON q.vec_id <> v.vec_id)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+ORACLES |= {"op3_top_k": OP3_SQL}
