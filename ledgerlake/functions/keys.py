@@ -72,9 +72,9 @@ def row_in_batch(row_num, size: int) -> Column:
     return (F.pmod(_c(row_num) - 1, F.lit(size)) + 1).cast("bigint")
 
 
-def path_partition_key(path) -> Column:
-    """4th '/' segment of an object path, prefix before '_', as INT."""
-    seg = F.split_part(_c(path), F.lit("/"), F.lit(4))
+def path_partition_key(path, segment: int = -1) -> Column:
+    """Leading number of a path segment (from the end: -1 is the file name), as INT: 12000_3.json gives 12000."""
+    seg = F.split_part(_c(path), F.lit("/"), F.lit(segment))
     return F.split_part(seg, F.lit("_"), F.lit(1)).try_cast("int")
 
 

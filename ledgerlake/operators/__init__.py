@@ -6,7 +6,7 @@ from .checks import (childless, counts_match, evaluate, fresh, matches, not_null
 from .explode import explode_array, explode_json, posexplode_json
 from .incremental import add_totals, heal, high_water, since, union_new_and_healed
 from .joins import join_keys, lookup
-from .latest import latest_per_key, latest_per_key_window, parse_order, sort_columns, top_per_key
+from .latest import latest_per_key, parse_order, sort_columns, top_per_key
 from .numbering import global_position, number_within, with_lag
 from .setops import (anti, full_outer_norm, in_list, not_in, reemit_groups, run_if_any, spine_join, union_all,
                      union_distinct, with_constants)

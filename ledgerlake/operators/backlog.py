@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from ..functions.hexnum import bucket1000, hex_to_bigint, int_to_hex
 from ..functions.keys import lit_ts, batch_no, json_array, json_str, row_in_batch, rpc_payload
 from .latest import latest_per_key, sort_columns
+from .numbering import global_position
 from .sinks import upsert
 
 # Fixed values of the reference configuration (sizing constants).
 BLOCKS_PER_HOUR = 1000
 HEAD_DELAY_MINUTES = 3
 LOOKBACK_HOURS = 72
-REALTIME_CAP = 2000
 BATCH_SIZE = 100
 
 
@@ -48,14 +48,18 @@ def chain_head(responses: DataFrame, col: str = "result") -> int:
     return int(r["h"] or 0)
 
 
-def lookback_block(blocks: DataFrame, now: dt.datetime, hours: int = LOOKBACK_HOURS,
-                   ts: str = "block_timestamp", col: str = "block_number") -> int:
-    """Smallest block in the hour [trunc_hour(now) - hours, +1h), 0 when none (F8)."""
+def lookback_frame(blocks: DataFrame, now: dt.datetime, hours: int = LOOKBACK_HOURS,
+                   ts: str = "block_timestamp", col: str = "block_number") -> DataFrame:
+    """One row: the smallest block in the hour [trunc_hour(now) - hours, +1h), 0 when none (F8)."""
     top = now.replace(minute=0, second=0, microsecond=0)
     lo, hi = top - dt.timedelta(hours=hours), top - dt.timedelta(hours=hours - 1)
-    r = (blocks.where((F.col(ts) >= lit_ts(lo)) & (F.col(ts) < lit_ts(hi)))
-         .agg(F.coalesce(F.min(col), F.lit(0)).alias("b")).first())
-    return int(r["b"])
+    return (blocks.where((F.col(ts) >= lit_ts(lo)) & (F.col(ts) < lit_ts(hi)))
+            .agg(F.coalesce(F.min(col), F.lit(0)).cast("bigint").alias("block_number")))
+
+
+def lookback_block(blocks: DataFrame, now: dt.datetime, **how) -> int:
+    """The same as a number, to bound the backlogs with."""
+    return int(lookback_frame(blocks, now, **how).first()[0])
 
 
 def split_backlog(df: DataFrame, boundary: int, col: str = "block_number") -> tuple[DataFrame, DataFrame]:
@@ -77,23 +81,27 @@ def missing_keys(spine: DataFrame, ledger: DataFrame, keys: list[str]) -> DataFr
     return spine.select(*keys).subtract(ledger.select(*keys))
 
 
-def newest(df: DataFrame, order, n: int) -> DataFrame:
-    """ORDER BY ... LIMIT n, planned as a distributed top-k (L1-L3)."""
-    return df.orderBy(*sort_columns(order)).limit(n)
+def newest(df: DataFrame, order, n: int | None) -> DataFrame:
+    """ORDER BY ... LIMIT n, planned as a distributed top-k (L1-L3); None takes all, unordered."""
+    return df if n is None else df.orderBy(*sort_columns(order)).limit(n)
 
 
-def top_n(df: DataFrame, measure: str, n: int, tiebreak: list[str]) -> DataFrame:
+def top_n(df: DataFrame, measure: str, n: int | None, tiebreak: list[str]) -> DataFrame:
     """n rows with the largest measure, ties broken by `tiebreak` (L4)."""
     return newest(df, [f"{measure} desc nulls last"] + [f"{t} asc" for t in tiebreak], n)
 
 
 def work_backlog(spine: DataFrame, ledger: DataFrame, method: str, keys=("block_number",),
-                 since_block: int | None = None, cap: int = REALTIME_CAP, params=None) -> DataFrame:
-    """Missing keys, newest first, capped, each with its JSON-RPC request."""
+                 since_block: int | None = None, before_block: int | None = None, *, cap: int | None,
+                 params=None) -> DataFrame:
+    """Missing keys with their JSON-RPC request (T6): the `cap` newest, or all (None).
+    `since_block` bounds the realtime form, `before_block` the history form (T7)."""
     keys = list(keys)
-    todo = missing_keys(spine, ledger, keys)
     if since_block is not None:
-        todo = todo.where(F.col("block_number") >= since_block)
+        spine, ledger = (d.where(F.col("block_number") >= since_block) for d in (spine, ledger))
+    if before_block is not None:
+        spine, ledger = (d.where(F.col("block_number") < before_block) for d in (spine, ledger))
+    todo = missing_keys(spine, ledger, keys)
     params = params or (lambda: json_array(json_str(int_to_hex("block_number")), F.lit("true")))
     out = todo.select(*keys, bucket1000("block_number").cast("bigint").alias("partition_key"),
                       rpc_payload(method, params(), F.col("block_number")).alias("request"))
@@ -101,12 +109,9 @@ def work_backlog(spine: DataFrame, ledger: DataFrame, method: str, keys=("block_
 
 
 def pack_batches(df: DataFrame, order, value: str, size: int = BATCH_SIZE) -> DataFrame:
-    """Number rows (already capped), group per `size`, collect values in order.
-
-    The input is a capped top-k, so a single global numbering is bounded here.
-    """
-    from pyspark.sql import Window
-    numbered = df.withColumn("row_num", F.row_number().over(Window.orderBy(*sort_columns(order))))
+    """Number rows, group per `size`, collect values in order (T9). Numbering is a range sort
+    over all tasks (global_position); a group has `size` rows."""
+    numbered = global_position(df, order, "row_num")
     grouped = (numbered.withColumn("batch_number", batch_no("row_num", size))
                .groupBy("batch_number")
                .agg(F.array_sort(F.collect_list(F.struct("row_num", F.col(value).alias("v")))).alias("_b")))

@@ -9,12 +9,11 @@ import datetime as dt
 import operator
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import lit_ts
 from .joins import join_keys
-from .numbering import number_within
 
 
 def _where(df: DataFrame, where) -> DataFrame:
@@ -49,39 +48,30 @@ def fresh(df: DataFrame, ts: str, now: dt.datetime, within: dt.timedelta) -> Dat
     return newest.where(F.col("newest").isNull() | (F.col("newest") < lit_ts(now - within)))
 
 
-def sequence_gaps(df: DataFrame, col: str, partition_by: list[str] | None = None, where=None) -> DataFrame:
+GAP_BUCKET = 100_000
+
+
+def sequence_gaps(df: DataFrame, col: str, partition_by: list[str] | None = None, where=None,
+                  bucket: int = GAP_BUCKET) -> DataFrame:
     """Adjacent distinct values (per partition) that differ by more than 1.
 
-    Runs of consecutive values are found with two anti joins on (partition, v+-1),
-    keys that never concentrate on one task; only the run boundaries, one pair
-    per gap, are then numbered and paired. Output: partition..., <col>_previous,
-    <col>, gap (count of missing values).
+    Values are compared inside buckets of `bucket` consecutive numbers, which bounds every
+    window whatever one partition holds; then the ends of neighbouring buckets are compared,
+    one row per bucket. One shuffle serves the distinct values and the windows.
+    Output: partition..., <col>_previous, <col>, gap (count of missing values).
     """
     p = list(partition_by or [])
-    vals = _where(df, where).where(F.col(col).isNotNull()).select(*p, F.col(col).alias("v")).distinct()
-    minus1 = vals.select(*p, (F.col("v") - 1).alias("v"))   # v is here when v+1 is a value
-    plus1 = vals.select(*p, (F.col("v") + 1).alias("v"))    # v is here when v-1 is a value
-    bounds = vals.groupBy(*p).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    # a run ends at v when v+1 is absent, and starts at v when v-1 is absent
-    ends = join_keys(vals, minus1, [*p, "v"], "left_anti")
-    starts = join_keys(vals, plus1, [*p, "v"], "left_anti")
-    if p:
-        ends = join_keys(ends, bounds, p, "inner").where(F.col("v") < F.col("hi")).select(*p, "v")
-        starts = join_keys(starts, bounds, p, "inner").where(F.col("v") > F.col("lo")).select(*p, "v")
-    else:  # global bounds are one-row scalar subqueries
-        ends = ends.where(F.col("v") < bounds.select("hi").scalar())
-        starts = starts.where(F.col("v") > bounds.select("lo").scalar())
-
-    def numbered(d: DataFrame) -> DataFrame:
-        if p:
-            return number_within(d, p, ["v asc"], "k")
-        return number_within(d.withColumn("_g", F.lit(0)), ["_g"], ["v asc"], "k").drop("_g")
-
-    e, s = numbered(ends), numbered(starts)
-    e = e.withColumnRenamed("v", f"{col}_previous")
-    pairs = join_keys(e, s.withColumnRenamed("v", col), [*p, "k"], "inner", null_safe=True)
-    return pairs.select(*p, f"{col}_previous", col,
-                        (F.col(col) - F.col(f"{col}_previous") - 1).alias("gap"))
+    v = F.col("_v")
+    vals = (_where(df, where).where(F.col(col).isNotNull())
+            .select(*p, F.col(col).alias("_v"), F.floor(F.col(col) / F.lit(bucket)).alias("_b"))
+            .repartition(*p, "_b").dropDuplicates([*p, "_b", "_v"]))
+    inside = Window.partitionBy(*p, "_b").orderBy("_v")
+    near = vals.withColumn("_prev", F.lag("_v").over(inside)).where(v - F.col("_prev") > 1)
+    ends = vals.groupBy(*p, "_b").agg(F.min("_v").alias("_v"), F.max("_v").alias("_hi"))
+    across = Window.partitionBy(*p).orderBy("_b")
+    far = ends.withColumn("_prev", F.lag("_hi").over(across)).where(v - F.col("_prev") > 1)
+    return near.select(*p, "_prev", "_v").union(far.select(*p, "_prev", "_v")).select(
+        *p, F.col("_prev").alias(f"{col}_previous"), v.alias(col), (v - F.col("_prev") - 1).alias("gap"))
 
 
 def counts_match(children: DataFrame, parents: DataFrame, key: str, expected: str) -> DataFrame:

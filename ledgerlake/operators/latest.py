@@ -1,10 +1,8 @@
 """Latest record per key.
 
-The reference keeps `ROW_NUMBER() OVER (PARTITION BY key ORDER BY ...) = 1`.
-A window sends every row of a key to one task; here the winner is chosen by a
-`max_by` aggregate instead, which Spark evaluates partially on the map side
-(one candidate per key per input partition) before the shuffle, so a key that
-holds a third of the rows costs no more than any other key.
+`row_number() = 1` over a window. Spark plans it with a group limit before the
+shuffle (one candidate per key and input partition goes on), so a key that holds
+a third of the rows costs no more than any other, and one sort after it.
 
 Order terms are strings: "col", "col desc", "col desc nulls last", ...
 Defaults follow the reference dialect: DESC puts NULLs first, ASC puts them last.
@@ -52,65 +50,20 @@ def sort_columns(terms) -> list[Column]:
     return cols
 
 
-def _negated(col: Column, dtype: T.DataType) -> Column | None:
-    """A value whose descending order is `col` ascending; None when not possible."""
-    if isinstance(dtype, T.BooleanType):
-        return ~col
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return -col.cast("decimal(20,0)")
-    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return -col
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(col.cast("timestamp"))
-    if isinstance(dtype, T.DateType):
-        return -F.unix_date(col)
-    return None
-
-
-def _max_key(df: DataFrame, terms, tiebreak: list[str]) -> Column | None:
-    types = {f.name: f.dataType for f in df.schema.fields}
-    fields = []
-    for i, (c, desc, nulls_first) in enumerate(terms + [(t, True, True) for t in tiebreak]):
-        col = F.col(c)
-        val = col if desc else _negated(col, types[c])
-        if val is None:
-            return None
-        # the winner is the maximum: a leading flag decides where NULLs rank
-        flag = col.isNull() if nulls_first else col.isNotNull()
-        fields += [flag.alias(f"f{i}"), val.alias(f"v{i}")]
-    return F.struct(*fields)
-
-
 def latest_per_key(df: DataFrame, keys, order, tiebreak: str | list[str] = "all") -> DataFrame:
     """Keep one row per key: the first under `order` (ties broken by `tiebreak`).
 
-    tiebreak="all" appends every other orderable column (descending), which makes
-    the choice a total order and the result deterministic.
+    tiebreak="all" appends every other column, descending (VARIANT columns by a hash of
+    their text), which makes the choice a total order and the result deterministic.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     terms = parse_order(order)
     used = {c for c, _, _ in terms} | set(keys)
-    if tiebreak == "all":
-        tb = [f.name for f in df.schema.fields
-              if f.name not in used and isinstance(f.dataType, _ORDERABLE)]
-    else:
-        tb = [t for t in (tiebreak or []) if t not in used]
-    payload = [c for c in df.columns if c not in keys]
-    key = _max_key(df, terms, tb)
-    if key is None:  # an ascending string term: fall back to the window form
-        return latest_per_key_window(df, keys, [f"{c} {'desc' if d else 'asc'} nulls {'first' if n else 'last'}"
-                                                for c, d, n in terms] + [f"{t} desc" for t in tb])
-    if not payload:
-        return df.select(*keys).distinct()
-    best = F.max_by(F.struct(*[F.col(c) for c in payload]), key)
-    return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*").select(*df.columns)
-
-
-def latest_per_key_window(df: DataFrame, keys, order) -> DataFrame:
-    """The window form, kept for orders that cannot be encoded as a maximum."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    w = Window.partitionBy(*keys).orderBy(*sort_columns(order))
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    ties = [f for f in df.schema.fields if f.name not in used and (tiebreak == "all" or f.name in (tiebreak or []))]
+    extra = [F.xxhash64(F.to_json(f.name)).desc() if isinstance(f.dataType, T.VariantType) else F.col(f.name).desc()
+             for f in ties if isinstance(f.dataType, (*_ORDERABLE, T.VariantType))]
+    w = Window.partitionBy(*keys).orderBy(*sort_columns(order), *extra)
+    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def top_per_key(df: DataFrame, keys, order_col: str, value_cols: list[str]) -> DataFrame:

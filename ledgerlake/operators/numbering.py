@@ -12,7 +12,7 @@ transactions) but not when one group may hold a third of the table. Two forms:
            per-group minimum is a partial aggregate joined back, which AQE plans
            as a broadcast when small or a skew-split sort-merge join otherwise.
 
-`mode="auto"` measures the largest group on the key columns only and picks.
+The split form is the default at every size; callers name the window where groups are bounded by nature.
 """
 from __future__ import annotations
 
@@ -22,9 +22,6 @@ from pyspark.sql import functions as F
 from .joins import join_keys
 from .latest import sort_columns
 
-# Groups larger than this are numbered with the split form in auto mode.
-HOT_GROUP_ROWS = 2_000_000
-
 
 def _n_parts(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -51,14 +48,10 @@ def global_position(df: DataFrame, order, name: str = "row_num", n: int | None =
             .select(*df.columns, (F.col("_off") + F.col("_lpos") + F.lit(start)).alias(name)))
 
 
-def number_within(df: DataFrame, group: list[str], order, name: str = "row_num", mode: str = "auto",
-                  start: int = 1, hot_rows: int = HOT_GROUP_ROWS, n: int | None = None) -> DataFrame:
-    """row_number() per group, `start`-based, choosing a skew-safe plan."""
+def number_within(df: DataFrame, group: list[str], order, name: str = "row_num", mode: str = "split",
+                  start: int = 1, n: int | None = None) -> DataFrame:
+    """row_number() per group, `start`-based; mode "window" for groups that are bounded by nature."""
     group = [group] if isinstance(group, str) else list(group)
-    if mode == "auto":
-        biggest = (df.groupBy(*group).agg(F.count(F.lit(1)).alias("c"))
-                   .agg(F.max("c").alias("m")).first()["m"] or 0)
-        mode = "split" if biggest > hot_rows else "window"
     if mode == "window":
         w = Window.partitionBy(*group).orderBy(*sort_columns(order))
         return df.withColumn(name, F.row_number().over(w) + F.lit(start - 1))
@@ -71,7 +64,7 @@ def number_within(df: DataFrame, group: list[str], order, name: str = "row_num",
             .select(*df.columns, (F.col("_gpos") - F.col("_gmin") + F.lit(start)).alias(name)))
 
 
-def with_lag(df: DataFrame, group: list[str], order_col: str, name: str, mode: str = "auto") -> DataFrame:
+def with_lag(df: DataFrame, group: list[str], order_col: str, name: str, mode: str = "split") -> DataFrame:
     """Previous value of `order_col` inside the group, via numbering + self join."""
     numbered = number_within(df, group, [f"{order_col} asc"], "_i", mode=mode)
     prev = numbered.select(*group, (F.col("_i") + 1).alias("_i"), F.col(order_col).alias(name))

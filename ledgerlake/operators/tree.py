@@ -4,11 +4,10 @@ A trace document is a nested tree: each node has fields and an optional array
 of child nodes (`calls`). The reference flattens it with a recursive FLATTEN
 and rebuilds addresses with regexes; here:
 
-* `flatten_tree` walks the tree level by level (`posexplode` of the children
-  array, no shuffle). Each level is a reliable checkpoint, so the loop has flat
-  lineage and an executor loss re-reads one level, not the whole walk. Flags can
-  be inherited downwards while walking (an error on the path fails a subtree),
-  which answers the ancestry question of the reference without any join.
+* `flatten_tree` walks each document once, as text, in one narrow pass (no shuffle, no
+  checkpoint, no depth limit). Depth-first positions, child counts and flags inherited
+  downwards (an error on the path fails a subtree) come out of the same walk, which
+  answers the ancestry question of the reference without any join.
 * `preorder_index`, `child_counts` and `ancestor_flag` work on a *flat* node
   table (address arrays), as the gold model reads it from silver.
 
@@ -17,16 +16,16 @@ as 'a_b_i'; the parent of a top-level node is 'ORIGIN'.
 """
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.json import jarray
-from ..session import ensure_checkpoint_dir
+from ..functions.jsontext import call_tree
 from .joins import join_keys
 from .numbering import number_within
 
 ROOT = "ORIGIN"
-MAX_DEPTH = 2048
 
 
 def address_text(addr) -> Column:
@@ -48,51 +47,57 @@ def strip_field(node: Column, field: str) -> Column:
     return F.to_variant_object(F.map_filter(fields, lambda k, v: k != field))
 
 
+def _walk(n_keys: int, names: list[str], child_field: str, flags: tuple[str, ...], skip_field: str | None):
+    def run(batches):
+        for b in batches:
+            at, address, kids, position, node = [], [], [], [], []
+            flag_values = [[] for _ in flags]
+            for i, text in enumerate(b.column(n_keys)):
+                text = text.as_py()
+                if text is None:
+                    continue
+                for addr, n, pos, raw, own in call_tree(text, child_field, flags, skip_field):
+                    at.append(i)
+                    address.append(addr)
+                    kids.append(n)
+                    position.append(pos)
+                    node.append(raw)
+                    for values, v in zip(flag_values, own):
+                        values.append(v)
+            rows = pa.array(at, pa.int32())
+            cols = [b.column(k).take(rows) for k in range(n_keys)]
+            cols += [pa.array(address, pa.list_(pa.int32())), pa.array([len(x) for x in address], pa.int32()),
+                     pa.array(kids, pa.int32()), pa.array(position, pa.int32()), pa.array(node, pa.string()),
+                     *[pa.array(v, pa.bool_()) for v in flag_values]]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+    return run
+
+
 def flatten_tree(df: DataFrame, node_col: str, keys: list[str], child_field: str = "calls",
-                 inherit: dict | None = None, keep_children: bool = False,
-                 max_depth: int = MAX_DEPTH) -> DataFrame:
+                 inherit: dict[str, str] | None = None, skip_field: str | None = None) -> DataFrame:
     """One row per node: keys, trace_address_array, trace_address, parent_trace_address,
-    depth, sub_traces (children in the document), node (VARIANT, children removed)
-    and one boolean per `inherit` entry.
+    depth, sub_traces (children in the document), trace_index (depth-first position), node
+    (VARIANT, children removed) and one boolean per `inherit` entry.
 
-    inherit = {"path_error": fn(node) -> boolean Column}: true when fn holds on the
-    node or on any ancestor (root included).
+    `node_col` is a VARIANT or JSON text; text keeps trees of any depth. A null gives no row.
+    inherit = {"path_error": "error"}: true when that field holds a value (JSON null does not
+    count) on the node or on any ancestor (root included). Nodes that have `skip_field` get
+    no trace_index, are no one's child and pass no flag on.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     inherit = inherit or {}
-    child_path = f"$.{child_field}"
-    level = df.select(*keys, F.col(node_col).alias("_node"),
-                      F.array().cast("array<int>").alias("trace_address_array"),
-                      *[F.coalesce(fn(F.col(node_col)), F.lit(False)).alias(name) for name, fn in inherit.items()])
-    outputs = []
-    for depth in range(max_depth + 1):
-        level = level.checkpoint(eager=True)
-        if level.isEmpty():
-            break
-        node = F.col("_node")
-        outputs.append(level.select(
-            *keys, "trace_address_array",
-            F.lit(depth).alias("depth"),
-            F.coalesce(F.array_size(jarray(node, child_path)), F.lit(0)).alias("sub_traces"),
-            (node if keep_children else strip_field(node, child_field)).alias("node"),
-            *inherit.keys()))
-        kids = level.select(*keys, "trace_address_array", *inherit.keys(),
-                            F.posexplode(jarray(node, child_path)).alias("_pos", "_child"))
-        level = kids.select(
-            *keys,
-            F.col("_child").alias("_node"),
-            F.array_append("trace_address_array", F.col("_pos")).alias("trace_address_array"),
-            *[(F.col(name) | F.coalesce(fn(F.col("_child")), F.lit(False))).alias(name)
-              for name, fn in inherit.items()])
-    else:
-        raise ValueError(f"tree deeper than {max_depth}")
-    out = outputs[0]
-    for o in outputs[1:]:
-        out = out.unionByName(o)
-    return out.select(*keys, address_text("trace_address_array").alias("trace_address"),
-                      parent_text("trace_address_array").alias("parent_trace_address"),
-                      "trace_address_array", "depth", "sub_traces", "node", *inherit.keys())
+    text = F.col(node_col)
+    if df.schema[node_col].dataType != T.StringType():
+        text = F.to_json(text)
+    names = [*keys, "trace_address_array", "depth", "sub_traces", "trace_index", "_text", *inherit]
+    schema = T.StructType([*[df.schema[k] for k in keys],
+                           T.StructField("trace_address_array", T.ArrayType(T.IntegerType())),
+                           *[T.StructField(c, T.IntegerType()) for c in ("depth", "sub_traces", "trace_index")],
+                           T.StructField("_text", T.StringType()), *[T.StructField(c, T.BooleanType()) for c in inherit]])
+    rows = df.select(*keys, text.alias("_doc")).mapInArrow(
+        _walk(len(keys), names, child_field, tuple(inherit.values()), skip_field), schema)
+    return rows.select(*keys, address_text("trace_address_array").alias("trace_address"),
+                       parent_text("trace_address_array").alias("parent_trace_address"), "trace_address_array",
+                       "depth", "sub_traces", "trace_index", F.try_parse_json("_text").alias("node"), *inherit)
 
 
 def has_error(node: Column) -> Column:
@@ -101,8 +106,10 @@ def has_error(node: Column) -> Column:
 
 
 def preorder_index(nodes: DataFrame, group: list[str], addr: str = "trace_address_array",
-                   name: str = "trace_index", mode: str = "auto") -> DataFrame:
-    """Zero-based depth-first position inside the group (arrays sort prefix-first)."""
+                   name: str = "trace_index", mode: str = "window") -> DataFrame:
+    """Zero-based depth-first position inside the group (arrays sort prefix-first).
+
+    A group is one call tree, which block gas limits bound: a plain window by default."""
     return number_within(nodes, group, [f"{addr} asc"], name, mode=mode, start=0)
 
 

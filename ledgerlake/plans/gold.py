@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 
 from ..functions.hexnum import (decimal_adjust, hex_epoch_ts, hex_to_bigint, hex_to_decimal, hex_to_int, to_gwei,
                                 tx_fee_precise)
-from ..functions.json import jabsent, jget, jnode, jsize, jstr_at
-from ..functions.keys import nullif_empty, selector, status_bool, surrogate_key
+from ..functions.json import jget, jnode, jsize, jstr_at
+from ..functions.keys import lit_ts, nullif_empty, selector, status_bool, surrogate_key
 from ..operators.explode import explode_json
 from ..operators.incremental import EPOCH, high_water, since
 from ..operators.joins import join_keys, lookup
 from ..operators.latest import latest_per_key
-from ..operators.tree import ancestor_flag, child_counts, preorder_index
 from .silver import with_audit
 
 NETWORK = "testnet"
@@ -60,7 +59,7 @@ def fact_blocks(silver_blocks: DataFrame, run_ts: dt.datetime, target: DataFrame
         jget(b, "$.parentHash").alias("parent_hash"),
         hex_to_bigint(jget(b, "$.gasUsed")).alias("gas_used"),
         hex_to_bigint(jget(b, "$.gasLimit")).alias("gas_limit"),
-        hex_to_bigint(jget(b, "$.baseFeePerGas")).alias("base_fee_per_gas"),
+        hex_to_decimal(jget(b, "$.baseFeePerGas")).alias("base_fee_per_gas"),
         hex_to_decimal(jget(b, "$.difficulty")).alias("difficulty"),
         hex_to_decimal(jget(b, "$.totalDifficulty")).alias("total_difficulty"),
         jget(b, "$.sha3Uncles").alias("sha3_uncles"),
@@ -89,7 +88,7 @@ def _tx_fields(base: DataFrame) -> DataFrame:
         jget(t, "$.hash").alias("tx_hash"),
         jget(t, "$.input").alias("input_data"),
         selector(jget(t, "$.input")).alias("origin_function_signature"),
-        hex_to_bigint(jget(t, "$.nonce")).alias("nonce"),
+        hex_to_decimal(jget(t, "$.nonce")).alias("nonce"),
         jget(t, "$.r").alias("r"),
         jget(t, "$.s").alias("s"),
         nullif_empty(jget(t, "$.to")).alias("to_address"),
@@ -112,7 +111,7 @@ def _receipt_keyed(receipts: DataFrame) -> DataFrame:
         jget(r, "$.status").alias("_status"),
         hex_to_bigint(jget(r, "$.gasUsed")).alias("gas_used"),
         hex_to_bigint(jget(r, "$.cumulativeGasUsed")).alias("cumulative_gas_used"),
-        hex_to_bigint(jget(r, "$.effectiveGasPrice")).alias("effective_gas_price"),
+        hex_to_decimal(jget(r, "$.effectiveGasPrice")).alias("effective_gas_price"),
         *([c for c in ["modified_timestamp"] if c in receipts.columns]))
 
 
@@ -120,7 +119,7 @@ TX_ORDER = ["block_number desc", "block_timestamp desc nulls last", "tx_succeede
 
 
 def _tx_rows(fields: DataFrame, blocks: DataFrame, receipts: DataFrame, floor) -> DataFrame:
-    pf = None if floor is None else F.col("modified_timestamp") >= F.lit(floor)
+    pf = None if floor is None else F.col("modified_timestamp") >= lit_ts(floor)
     j = lookup(fields, blocks, ["block_number"], ["block_timestamp"], parent_filter=pf)
     rk = _receipt_keyed(receipts)
     if floor is not None and "modified_timestamp" in rk.columns:
@@ -178,7 +177,7 @@ def _log_rows(receipts: DataFrame) -> DataFrame:
 
 
 def _log_lookups(rows: DataFrame, blocks: DataFrame, txs: DataFrame, floor) -> DataFrame:
-    pf = None if floor is None else F.col("modified_timestamp") >= F.lit(floor)
+    pf = None if floor is None else F.col("modified_timestamp") >= lit_ts(floor)
     j = lookup(rows, blocks, ["block_number"], ["block_timestamp"], parent_filter=pf)
     return lookup(j, txs, ["tx_hash", "block_number"], ["origin_function_signature"], parent_filter=pf)
 
@@ -213,14 +212,10 @@ TRACE_COLS = ["block_number", "block_timestamp", "tx_hash", "tx_position", "trac
               "origin_function_signature", "trace_succeeded", "error_reason", "revert_reason", "tx_succeeded"]
 
 
-def trace_nodes(silver_traces: DataFrame, index_mode: str = "auto") -> DataFrame:
-    """Typed call nodes with depth-first index, child count and success (no tx fields)."""
-    g = ["block_number", "tx_position"]
-    st = silver_traces.where(jabsent("trace_json", "$.failed"))
-    st = st.withColumn("_err", jget("trace_json", "$.error").isNotNull())
-    st = child_counts(st, g, "trace_address", "parent_trace_address", "sub_traces")
-    st = preorder_index(st, g, "trace_address_array", "trace_index", mode=index_mode)
-    st = ancestor_flag(st, g, "_err", "trace_address_array", "_failed_path")
+def trace_nodes(silver_traces: DataFrame) -> DataFrame:
+    """Typed call nodes (no tx fields). Position, child count and failure on the path come with
+    silver, from the walk over the tree; nodes with a `failed` field have no position."""
+    st = silver_traces.where(F.col("trace_index").isNotNull())
     t = F.col("trace_json")
     raw = F.coalesce(hex_to_int(jget(t, "$.value")), F.lit("0"))
     precise = decimal_adjust(raw, 18)
@@ -231,23 +226,23 @@ def trace_nodes(silver_traces: DataFrame, index_mode: str = "auto") -> DataFrame
         precise.cast("double").alias("value"), raw.alias("value_precise_raw"), precise.alias("value_precise"),
         F.coalesce(jget(t, "$.value"), F.lit("0x0")).alias("value_hex"),
         hex_to_bigint(jget(t, "$.gas")).alias("gas"), hex_to_bigint(jget(t, "$.gasUsed")).alias("gas_used"),
-        (~F.col("_failed_path")).alias("trace_succeeded"),
+        (~F.col("path_error")).alias("trace_succeeded"),
         jget(t, "$.error").alias("error_reason"), jget(t, "$.revertReason").alias("revert_reason"),
         *([c for c in ["modified_timestamp"] if c in silver_traces.columns]))
 
 
 def _trace_lookup(nodes: DataFrame, txs: DataFrame, floor) -> DataFrame:
-    t = txs if floor is None else txs.where(F.col("modified_timestamp") >= F.lit(floor))
+    t = txs if floor is None else txs.where(F.col("modified_timestamp") >= lit_ts(floor))
     t = t.select("block_number", "tx_position", *[F.col(v).alias(k) for k, v in TX_LOOKUP.items()])
     return join_keys(nodes.drop(*[k for k in TX_LOOKUP if k in nodes.columns]), t,
                      ["block_number", "tx_position"], "left")
 
 
 def fact_traces(silver_traces: DataFrame, txs: DataFrame, run_ts: dt.datetime,
-                target: DataFrame | None = None, index_mode: str = "auto") -> DataFrame:
+                target: DataFrame | None = None) -> DataFrame:
     base, mark = _delta(silver_traces, target)
     floor = None if mark is None else mark - dt.timedelta(hours=24)
-    rows = _trace_lookup(trace_nodes(base, index_mode), txs, floor).select(*TRACE_COLS)
+    rows = _trace_lookup(trace_nodes(base), txs, floor).select(*TRACE_COLS)
     if target is not None:
         missing = target.where(F.col("block_timestamp").isNull() | F.col("tx_succeeded").isNull())
         rows = rows.unionByName(_trace_lookup(missing.select(*TRACE_COLS), txs, None).select(*TRACE_COLS))

@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.json import jget, jnode
-from ..functions.keys import surrogate_key
+from ..functions.jsontext import members
+from ..functions.keys import lit_ts, surrogate_key
 from ..operators.incremental import high_water, since
 from ..operators.latest import latest_per_key
 from ..operators.tree import flatten_tree
@@ -22,13 +25,18 @@ FLOOR = dt.datetime(1900, 1, 1)
 
 def with_audit(df: DataFrame, run_ts: dt.datetime, run_id: str | None = None) -> DataFrame:
     """Row lineage stamps: one literal run time per run (replayable), run id."""
-    out = (df.withColumn("inserted_timestamp", F.lit(run_ts).cast("timestamp_ntz"))
-           .withColumn("modified_timestamp", F.lit(run_ts).cast("timestamp_ntz")))
+    out = (df.withColumn("inserted_timestamp", lit_ts(run_ts))
+           .withColumn("modified_timestamp", lit_ts(run_ts)))
     if run_id is not None:
         out = out.withColumn("_invocation_id", F.lit(run_id))
     return out
 
 
+@F.pandas_udf(T.StringType())
+def _result_of(text: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else (members(t) or {}).get("result") for t in text], dtype=object)
+
+
 def _new_since(bronze: DataFrame, target: DataFrame | None) -> DataFrame:
     if target is None:
         return bronze
@@ -68,14 +76,16 @@ def silver_receipts(bronze: DataFrame, run_ts: dt.datetime, target: DataFrame |
 
 def silver_traces(bronze: DataFrame, run_ts: dt.datetime, target: DataFrame | None = None,
                   run_id: str | None = None) -> DataFrame:
-    """M4: one row per call node of the latest trace document per (block, position)."""
-    src = _new_since(bronze, target).where(jnode("data", "$.result").isNotNull())
-    src = src.select("block_number", jget("value", "$.array_index", "int").alias("tx_position"), "partition_key",
-                     jnode("data", "$.result").alias("full_traces"), "_inserted_timestamp")
-    src = latest_per_key(src, ["block_number", "tx_position"], ["_inserted_timestamp desc"])
-    nodes = flatten_tree(src, "full_traces", ["block_number", "tx_position", "partition_key", "_inserted_timestamp"])
-    out = nodes.select("block_number", "tx_position", "trace_address", "parent_trace_address",
-                       "trace_address_array", F.col("node").alias("trace_json"), "partition_key",
-                       "_inserted_timestamp")
+    """M4: one row per call node of the latest trace document per (block, position), with its
+    depth-first position, child count and whether it or a caller failed."""
+    deep = _result_of(F.col("data_text")) if "data_text" in bronze.columns else F.lit(None).cast("string")
+    src = _new_since(bronze, target).select(
+        "block_number", jget("value", "$.array_index", "int").alias("tx_position"), "partition_key",
+        F.coalesce(F.to_json(jnode("data", "$.result")), deep).alias("full_traces"), "_inserted_timestamp")
+    src = latest_per_key(src.where("full_traces IS NOT NULL"), ["block_number", "tx_position"],
+                         ["_inserted_timestamp desc"])
+    out = flatten_tree(src, "full_traces", ["block_number", "tx_position", "partition_key", "_inserted_timestamp"],
+                       inherit={"path_error": "error"}, skip_field="failed")
+    out = out.withColumnRenamed("node", "trace_json").drop("depth")
     out = out.withColumn("traces_id", surrogate_key("block_number", "tx_position", "trace_address"))
     return with_audit(out, run_ts, run_id)

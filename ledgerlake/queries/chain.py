@@ -3,26 +3,34 @@
 The driver tables are not blockchain data, so this module turns them into the
 *shape* the models consume, entirely with Spark (whole tables, no sampling):
 
-  order date  -> block (number = days since 1995-01-01, time = the date)
-  order       -> transaction (position = rank of the order key in its day),
-                 receipt (status from the order status, one log per line item)
-                 and call trace (root -> one call per supplier -> one call per line)
-
-Every derivation is restated in SQL in `oracle.py`, which is how the results are
-checked. Fixed values below (epoch of block 0, field formats) are the contract
-between the two sides.
+  20 order keys -> block (number = key // 20, one every 12 seconds)
+  order         -> transaction (position = rank of the order key in its block),
+                   receipt (status from the order status, one log per line item)
+                   and call trace (root -> one call per supplier -> one call per line)
+
+A block holds at most 20 orders at any scale. The documents are written as JSON-line
+files, an early delivery with damaged payloads for every third block and then the right
+one, and the models read them back through the raw reader; so every model has to pick the
+latest delivery. `sqlparts.py` restates the derivation in SQL, which is how the results
+are checked. Fixed values below are the contract between the two sides.
 """
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Fixed values of the derivation (shared with oracle.py).
+from ..session import ensure_checkpoint_dir, store
+from ..sources.raw import read_raw
+
+# Fixed values of the derivation (shared with sqlparts.py).
 BLOCK_ZERO = "1995-01-01"
+ZERO_EPOCH = 788_918_400  # seconds of that day
+BLOCK_ORDERS = 20
+BLOCK_SECONDS = 12
 RUN_TS = dt.datetime(2024, 2, 1, 0, 0, 0)
-INGEST_TS = dt.datetime(2024, 1, 31, 0, 0, 0)
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
               "l_returnflag", "l_linestatus", "l_shipdate"]
 
@@ -53,14 +61,13 @@ def orders_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     o = o.join(li, o["o_orderkey"] == li["l_orderkey"], "left").drop("l_orderkey")
     o = o.withColumn("n_lines", F.coalesce("n_lines", F.lit(0)).cast("bigint"))
-    blk = F.datediff(F.col("o_orderdate").cast("date"), F.lit(BLOCK_ZERO).cast("date")).cast("bigint")
-    # transactions of one block (one day) are a bounded group: a plain window
-    pos = F.row_number().over(Window.partitionBy("o_orderdate").orderBy("o_orderkey")) - 1
+    blk = F.floor(F.col("o_orderkey") / BLOCK_ORDERS).cast("bigint")
+    o = o.withColumn("block_number", blk)
+    pos = F.row_number().over(Window.partitionBy("block_number").orderBy("o_orderkey")) - 1
     return o.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate", "n_lines",
-        blk.alias("block_number"), pos.cast("bigint").alias("tx_position"),
-        (F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-         * F.lit(86400)).alias("epoch"),
+        "block_number", pos.cast("bigint").alias("tx_position"),
+        (F.lit(ZERO_EPOCH) + F.col("block_number") * BLOCK_SECONDS).alias("epoch"),
         F.concat(F.lit("0x"), F.md5(F.col("o_orderkey").cast("string"))).alias("tx_hash"),
         addr(F.col("o_custkey")).alias("from_addr"),
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit(""))
@@ -77,16 +84,14 @@ def orders_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _envelope(df: DataFrame, data: Column, value: Column) -> DataFrame:
-    return df.select(
-        F.round("block_number", -3).cast("int").alias("partition_key"),
-        F.parse_json(F.to_json(value)).alias("value"),
-        F.parse_json(F.to_json(data)).alias("data"),
-        F.parse_json(F.to_json(F.struct(F.struct(F.struct(F.col("block_number").alias("id")).alias("data"))
-                                        .alias("request")))).alias("metadata"),
-        F.lit("raw/chain/0_0.json").alias("file_name"),
-        F.lit(INGEST_TS).cast("timestamp_ntz").alias("_inserted_timestamp"),
-        F.col("block_number").cast("int").alias("block_number"),
-        *[c for c in ["tx_hash"] if c in df.columns])
+    """One raw record per row as a JSON line, and whether an early, damaged delivery precedes it."""
+    request = F.struct(F.struct(F.struct(F.col("block_number").alias("id")).alias("data")).alias("request"))
+    head = F.concat(F.lit('{"partition_key":'), F.round("block_number", -3).cast("string"), F.lit(',"value":'),
+                    F.to_json(value), F.lit(',"metadata":'), F.to_json(request), F.lit(',"data":'))
+    payload = F.to_json(data, {"ignoreNullFields": "true"})
+    damaged = F.regexp_replace(payload, '"(gas|value|data|from|miner|size|type)":"[^"]*"', '"$1":"0x7"')
+    return df.select(F.concat(head, payload, F.lit("}")).alias("line"), F.concat(head, damaged, F.lit("}")).alias("early"),
+                     (F.col("block_number") % 3 == 0).alias("twice"))
 
 
 def bronze_transactions(tx: DataFrame) -> DataFrame:
@@ -214,15 +219,32 @@ class Chain:
     def docs(self):
         return self._get("docs", lambda: trace_documents(self.spark, self.sf_dir, self.tx))
 
+    def raw(self, entity: str) -> str:
+        """The folder of an entity's raw files: the early deliveries first, then the right ones."""
+        lines = {"blocks": lambda: bronze_blocks(self.tx), "transactions": lambda: bronze_transactions(self.tx),
+                 "receipts_by_hash": lambda: bronze_receipts(self.spark, self.sf_dir, self.tx),
+                 "traces": lambda: bronze_traces(self.docs)}[entity]
+
+        def write():
+            path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/raw-{uuid.uuid4().hex}/{entity}"
+            rows = lines()
+            rows.where("twice").select("early").write.text(f"{path}/early")
+            rows.select("line").write.text(f"{path}/late")
+            return path
+        return self._get(f"raw_{entity}", write)
+
+    def bronze(self, entity: str) -> DataFrame:
+        return read_raw(self.spark, self.raw(entity), entity)
+
     def silver(self, name):
         from ..plans import silver
         builders = {
-            "blocks": lambda: silver.silver_blocks(bronze_blocks(self.tx), RUN_TS),
-            "transactions": lambda: silver.silver_transactions(bronze_transactions(self.tx), RUN_TS),
-            "receipts": lambda: silver.silver_receipts(bronze_receipts(self.spark, self.sf_dir, self.tx), RUN_TS),
-            "traces": lambda: silver.silver_traces(bronze_traces(self.docs), RUN_TS),
+            "blocks": lambda: silver.silver_blocks(self.bronze("blocks"), RUN_TS),
+            "transactions": lambda: silver.silver_transactions(self.bronze("transactions"), RUN_TS),
+            "receipts": lambda: silver.silver_receipts(self.bronze("receipts_by_hash"), RUN_TS),
+            "traces": lambda: silver.silver_traces(self.bronze("traces"), RUN_TS),
         }
-        return self._get(f"silver_{name}", builders[name])
+        return self._get(f"silver_{name}", lambda: store(builders[name](), f"silver-{name}"))
 
     def gold(self, name):
         from ..plans import gold
@@ -234,4 +256,7 @@ class Chain:
                                                        self.gold("transactions"), RUN_TS),
             "traces": lambda: gold.fact_traces(self.silver("traces"), self.gold("transactions"), RUN_TS),
         }
+        # blocks and transactions are looked up by the other facts: stored once, read with the columns needed
+        if name in ("blocks", "transactions"):
+            return self._get(f"gold_{name}", lambda: store(builders[name](), f"gold-{name}"))
         return self._get(f"gold_{name}", builders[name])

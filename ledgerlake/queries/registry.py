@@ -51,7 +51,7 @@ _chains: dict = {}
 
 
 def chain(spark, sf) -> CH.Chain:
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _chains:
         _chains[key] = CH.Chain(spark, sf)
     return _chains[key]
@@ -205,7 +205,8 @@ def q_tree_flatten(spark, sf):
 WITH {TX_CTE}, {NODES_CTE}
 SELECT block_number, tx_position, trace_address, trace_index, sub_traces FROM nodes""")
 def q_tree_index(spark, sf):
-    st = chain(spark, sf).silver("traces")
+    # on the flat table, without what the walk already knows
+    st = chain(spark, sf).silver("traces").drop("sub_traces", "trace_index")
     g = ["block_number", "tx_position"]
     n = child_counts(st, g, "trace_address", "parent_trace_address", "sub_traces")
     n = preorder_index(n, g, "trace_address_array", "trace_index", mode="split")
@@ -219,7 +220,7 @@ SELECT o_orderkey, trace_address, own_error, NOT path_error AS trace_succeeded,
        NOT path_error AS trace_succeeded_join FROM nodes""")
 def q_tree_errors(spark, sf):
     docs = chain(spark, sf).docs.select("o_orderkey", F.parse_json(F.to_json("root")).alias("root"))
-    n = flatten_tree(docs, "root", ["o_orderkey"], inherit={"path_error": has_error})
+    n = flatten_tree(docs, "root", ["o_orderkey"], inherit={"path_error": "error"})
     n = n.withColumn("own_error", has_error(F.col("node")))
     n = ancestor_flag(n, ["o_orderkey"], "own_error", "trace_address_array", "any_error")
     return n.select("o_orderkey", "trace_address", "own_error", (~F.col("path_error")).alias("trace_succeeded"),
@@ -289,7 +290,7 @@ SELECT block_number, block_timestamp, tx_hash, from_addr AS from_address, nullif
        CAST({shift_sql('gas_price_wei * gas_used', 18)} AS DOUBLE) AS tx_fee,
        {shift_sql('gas_price_wei * gas_used', 18)} AS tx_fee_precise,
        tx_succeeded, tx_position, gas_price_wei::DOUBLE / 1e9 AS gas_price, gas_used,
-       (21000 + 1000 * (o_custkey % 100))::BIGINT AS gas_limit, o_orderkey AS nonce
+       (21000 + 1000 * (o_custkey % 100))::BIGINT AS gas_limit, o_orderkey::DECIMAL(38,0) AS nonce
 FROM tx""")
 def q_tx_fact(spark, sf):
     t = chain(spark, sf).gold("transactions")
@@ -341,10 +342,7 @@ FROM orders"""
 @query("replace_by_key", _UPSERT_SQL.format(keep="o_orderstatus <> 'P'"))
 def q_replace_by_key(spark, sf):
     target, batch = _orders_batch(spark, sf)
-    mark = INC.high_water(target, "o_orderdate")
-    new = INC.since(batch, "o_orderdate", mark, inclusive=False).unionByName(
-        batch.where(F.col("o_orderdate") <= F.lit(mark)))
-    return SK.upsert(target, new, "o_orderkey", "replace_key")
+    return SK.upsert(target, batch, "o_orderkey", "replace_key")
 
 
 @query("merge_keep", _UPSERT_SQL.format(keep="true"))
@@ -356,16 +354,17 @@ def q_merge_keep(spark, sf):
 @query("merge_pruned", _UPSERT_SQL.format(keep="o_orderstatus <> 'P'"))
 def q_merge_pruned(spark, sf):
     target, batch = _orders_batch(spark, sf)
-    return SK.upsert(target, batch, "o_orderkey", "merge", prune_on="o_orderkey")
+    # the stored rows of the batch's keys have the batch's dates; rows dated before them are not joined
+    return SK.upsert(target, batch, "o_orderkey", "merge", prune_on="o_orderdate")
 
 
 @query("heal_late", ORACLES.get("tx_fact"))
 def q_heal_late(spark, sf):
-    """First run sees only blocks before 1998 (later blocks arrive late); the second
+    """First run sees only even blocks (odd ones arrive late); the second
     run heals the rows whose block was missing. The result equals a one-shot build."""
     c = chain(spark, sf)
     blocks = c.gold("blocks")
-    early = blocks.where(F.col("block_timestamp") < LF.lit_ts(dt.datetime(1998, 1, 1)))
+    early = blocks.where(F.col("block_number") % 2 == 0)
     run1 = dt.datetime(2024, 2, 1)
     first = GD.fact_transactions(c.silver("transactions"), early, c.silver("receipts"), run1)
     first = first.checkpoint()
@@ -414,11 +413,11 @@ SELECT o_orderkey AS block_number, round(o_orderkey, -3)::BIGINT AS partition_ke
        '{"id":' || o_orderkey::VARCHAR || ',"jsonrpc":"2.0","method":"eth_getBlockByNumber","params":["0x'
          || lower(hex(o_orderkey)) || '",true]}' AS request
 FROM (SELECT o_orderkey FROM orders EXCEPT SELECT l_orderkey FROM lineitem)
-ORDER BY partition_key DESC, block_number DESC LIMIT 2000""")
+""")
 def q_backlog_keys(spark, sf):
     spine = T(spark, sf, "orders").select(F.col("o_orderkey").alias("block_number"))
     led = T(spark, sf, "lineitem").select(F.col("l_orderkey").alias("block_number"))
-    return BL.work_backlog(spine, led, "eth_getBlockByNumber", cap=BL.REALTIME_CAP)
+    return BL.work_backlog(spine, led, "eth_getBlockByNumber", cap=None)
 
 
 @query("spine", f"""
@@ -439,18 +438,15 @@ SELECT coalesce(min(event_id), 0)::BIGINT AS block_number FROM events
 WHERE ts >= TIMESTAMP '2024-01-17 12:00:00' AND ts < TIMESTAMP '2024-01-17 13:00:00'""")
 def q_lookback(spark, sf):
     ev = T(spark, sf, "events").select(F.col("event_id").alias("block_number"), F.col("ts").alias("block_timestamp"))
-    b = BL.lookback_block(ev, NOW, hours=72)
-    return spark.range(1).select(F.lit(b).cast("bigint").alias("block_number"))
+    return BL.lookback_frame(ev, NOW, hours=72)
 
 
 @query("batch_pack", """
-WITH top AS (SELECT o_orderkey FROM orders ORDER BY o_orderkey DESC LIMIT 2000),
-n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM top)
+WITH n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders)
 SELECT ceil(rn / 100)::BIGINT AS batch_number, count(*)::BIGINT AS n_requests,
        min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM n GROUP BY 1""")
 def q_batch_pack(spark, sf):
-    top = BL.newest(T(spark, sf, "orders").select("o_orderkey"), ["o_orderkey desc"], 2000)
-    packed = BL.pack_batches(top, ["o_orderkey asc"], "o_orderkey", 100)
+    packed = BL.pack_batches(T(spark, sf, "orders").select("o_orderkey"), ["o_orderkey asc"], "o_orderkey", 100)
     return packed.select("batch_number", F.col("n_requests").cast("bigint"),
                          F.col("batch_request")[0].alias("first_key"),
                          F.element_at("batch_request", -1).alias("last_key"))
@@ -502,7 +498,9 @@ def q_abi_metadata(spark, sf):
     rows = (reads(CT.NAME_SIG, abi_string(F.col("p_name")))
             .unionByName(reads(CT.SYMBOL_SIG, abi_string(F.col("p_brand"))))
             .unionByName(reads(CT.DECIMALS_SIG, CH.word(F.col("p_size") * 3))))
-    responses = rows.groupBy(F.pmod(F.hash(F.col("r")["id"]), F.lit(64)).alias("batch")).agg(
+    # 100 keys, 300 reads, to an answer
+    responses = rows.groupBy(F.floor(F.split_part(F.col("r")["id"], F.lit("-"), F.lit(1)).cast("bigint") / 100)
+                             .alias("batch")).agg(
         F.to_json(F.struct(F.collect_list("r").alias("data"))).alias("response"))
     got = CT.token_read_results(responses, CH.RUN_TS)
     meta = CT.contract_metadata(got, CH.RUN_TS)
@@ -606,9 +604,10 @@ def q_check_counts_match(spark, sf):
 
 
 @query("check_orphans", """
-SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)""")
+SELECT l_orderkey, l_linenumber FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""")
 def q_check_orphans(spark, sf):
-    parents = T(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    parents = T(spark, sf, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
     return CK.orphans(T(spark, sf, "lineitem"), parents, "l_orderkey").select("l_orderkey", "l_linenumber")
 
 
@@ -629,35 +628,51 @@ def q_check_one_parent(spark, sf):
 
 
 @query("check_freshness", """
-SELECT max(ts) AS newest FROM events HAVING max(ts) < TIMESTAMP '2024-01-20 12:30:00' - INTERVAL 2 HOUR""")
+SELECT max(ts) AS newest FROM events HAVING max(ts) < TIMESTAMP '2030-01-01 00:00:00' - INTERVAL 2 HOUR""")
 def q_check_freshness(spark, sf):
-    return CK.fresh(T(spark, sf, "events"), "ts", NOW, dt.timedelta(hours=2))
+    ev = T(spark, sf, "events")
+    stale = CK.fresh(ev, "ts", dt.datetime(2030, 1, 1), dt.timedelta(hours=2))
+    newest = INC.high_water(ev, "ts")
+    return stale.unionByName(CK.fresh(ev, "ts", newest + dt.timedelta(hours=1), dt.timedelta(hours=2)))
 
 
+# ------------------------------------------------------------- streaming
+def _event_files(spark, sf, base: str) -> tuple[str, list]:
+    """Two deliveries of the events: before and from SPLIT_TS, the second with the first's purchases again."""
+    ev = T(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    old = ev.where(F.col("ts") < LF.lit_ts(SPLIT_TS))
+    new = ev.where(F.col("ts") >= LF.lit_ts(SPLIT_TS)).unionByName(old.where("event_type = 'purchase'"))
+    return f"{base}/in", [lambda: old.write.mode("append").parquet(f"{base}/in"),
+                          lambda: new.write.mode("append").parquet(f"{base}/in")]
 
 
-# ------------------------------------------------------------- streaming
 @query("stream_upsert", """
 SELECT user_id, event_id, ts, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def q_stream_upsert(spark, sf):
-    """The events file as a stream (availableNow, one file per trigger), upserted per user."""
+    """Two deliveries, each read by a run of its own, then a run without news: the table goes on."""
     from ..streaming import read_stream, upsert_stream, work_dir
-    schema = T(spark, sf, "events").schema
-    s = read_stream(spark, sf, schema, glob="events.parquet", max_files=1)
-    s = s.select("user_id", "event_id", "ts", "event_type", "value")
     base = work_dir(spark, "stream_upsert")
-    path = upsert_stream(s, f"{base}/table", ["user_id"], ["ts desc", "event_id desc"], f"{base}/_checkpoint")
-    return spark.read.parquet(path)
+    path, deliveries = _event_files(spark, sf, base)
+    schema = T(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value").schema
+    for deliver in [*deliveries, lambda: None]:
+        deliver()
+        s = read_stream(spark, path, schema)
+        out = upsert_stream(s, f"{base}/table", ["user_id"], ["ts desc", "event_id desc"], f"{base}/_checkpoint")
+    return out
 
 
 @query("stream_counters", """
-SELECT user_id, count(*)::BIGINT AS n_events, max(ts) AS last_ts FROM events GROUP BY user_id""")
+SELECT user_id, (count(*) + count(*) FILTER (event_type = 'purchase' AND ts < TIMESTAMP '2024-01-15'))::BIGINT AS n_events,
+       max(ts) AS last_ts FROM events GROUP BY user_id""")
 def q_stream_counters(spark, sf):
+    """Running totals over two runs; rows delivered twice count twice, as the reference's counters do."""
     from ..streaming import counters_stream, read_stream, work_dir
-    schema = T(spark, sf, "events").schema
-    s = read_stream(spark, sf, schema, glob="events.parquet")
     base = work_dir(spark, "stream_counters")
-    out = counters_stream(s, "user_id", {"n_events": F.count(F.lit(1)), "last_ts": F.max("ts")},
-                          f"{base}/_checkpoint", f"{base}/table")
+    path, deliveries = _event_files(spark, sf, base)
+    schema = T(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value").schema
+    for deliver in [*deliveries, lambda: None]:
+        deliver()
+        out = counters_stream(read_stream(spark, path, schema), "user_id",
+                              {"n_events": F.count(F.lit(1)), "last_ts": F.max("ts")}, f"{base}/_checkpoint", f"{base}/table")
     return out.select("user_id", F.col("n_events").cast("bigint"), "last_ts")

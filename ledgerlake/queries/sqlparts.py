@@ -29,8 +29,8 @@ li_n AS (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY l_orderke
 tx AS (
   SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_orderpriority, o.o_totalprice, o.o_orderdate,
     coalesce(li_n.n_lines, 0)::BIGINT AS n_lines,
-    date_diff('day', DATE '1995-01-01', o.o_orderdate)::BIGINT AS block_number,
-    (row_number() OVER (PARTITION BY o.o_orderdate ORDER BY o.o_orderkey) - 1)::BIGINT AS tx_position,
+    (o.o_orderkey // 20)::BIGINT AS block_number,
+    (row_number() OVER (PARTITION BY o.o_orderkey // 20 ORDER BY o.o_orderkey) - 1)::BIGINT AS tx_position,
     '0x' || md5(o.o_orderkey::VARCHAR) AS tx_hash,
     {addr('o.o_custkey')} AS from_addr,
     CASE WHEN o.o_orderpriority = '5-LOW' THEN '' ELSE {addr('o.o_custkey + 1000000')} END AS to_addr,
@@ -39,7 +39,7 @@ tx AS (
     (21000 + 5000 * coalesce(li_n.n_lines, 0))::BIGINT AS gas_used,
     '0x' || substr(md5(o.o_orderpriority), 1, 8) || lpad(lower(hex(o.o_orderkey)), 64, '0') AS input,
     CASE o.o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS tx_succeeded,
-    date_trunc('day', o.o_orderdate)::TIMESTAMP AS block_timestamp
+    TIMESTAMP '1995-01-01 00:00:00' + to_seconds(12 * (o.o_orderkey // 20)) AS block_timestamp
   FROM orders o LEFT JOIN li_n ON o.o_orderkey = li_n.l_orderkey)
 """
 

@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.json import jget, jnode
+from ..functions.jsontext import members
 from ..functions.keys import path_partition_key
 
 # The five raw entities of the reference and their extra key.
@@ -23,23 +26,60 @@ RAW_ENTITIES = {
     "confirm_blocks": {},
 }
 
-ENVELOPE = ["partition_key", "value", "data", "metadata", "file_name", "_inserted_timestamp"]
+ENVELOPE = ["partition_key", "value", "data", "metadata", "data_text", "file_name", "_inserted_timestamp"]
+
+
+_DEEP = T.StructType([*[T.StructField(c, T.StringType()) for c in ("partition_key", "value", "data", "metadata")],
+                      T.StructField("failed", T.BooleanType())])
+
+
+@F.pandas_udf(_DEEP)
+def _deep_record(text: pd.Series) -> pd.DataFrame:
+    """Members of a record that VARIANT cannot hold (too deep), as text; nulls for what is no record."""
+    rows = []
+    for t in text:
+        rec = members(t) if t else None
+        data = members(rec["data"]) if rec and "data" in rec else None
+        rows.append(tuple((rec or {}).get(k) for k in ("partition_key", "value", "data", "metadata"))
+                    + (None if data is None else "error" in data,))
+    return pd.DataFrame(rows, columns=["partition_key", "value", "data", "metadata", "failed"])
 
 
 def envelope_from_text(df: DataFrame, text: str = "value", file_name: Column | None = None,
                        inserted: Column | None = None) -> DataFrame:
-    """JSON-line text -> (partition_key, value, data, metadata VARIANT, file_name, _inserted_timestamp)."""
-    rec = F.try_parse_json(F.col(text))
-    return df.select(
-        jget(rec, "$.partition_key", "int").alias("partition_key"),
-        jnode(rec, "$.value").alias("value"),
-        jnode(rec, "$.data").alias("data"),
-        jnode(rec, "$.metadata").alias("metadata"),
+    """JSON-line text -> (partition_key, value, data, metadata VARIANT, data_text, file_name, _inserted_timestamp).
+
+    A record too deep for VARIANT keeps its payload in `data_text` (null for all others); a
+    line that is no JSON object gives a row of nulls, see `unreadable`.
+    """
+    raw = F.col(text)
+    read = df.select("*", F.try_parse_json(raw).alias("_rec"))
+    # only lines that did not parse travel to Python; the rest pass as nulls
+    read = read.withColumn("_deep", _deep_record(F.when(F.col("_rec").isNull(), raw)))
+    rec, deep = F.col("_rec"), F.col("_deep")
+
+    def field(name: str) -> Column:
+        return F.coalesce(jnode(rec, f"$.{name}"), F.try_parse_json(deep[name]))
+    return read.select(
+        F.coalesce(jget(rec, "$.partition_key", "int"), F.regexp_replace(deep["partition_key"], '"', "").try_cast("int"))
+        .alias("partition_key"),
+        field("value").alias("value"), field("data").alias("data"), field("metadata").alias("metadata"),
+        F.when(deep["data"].isNotNull() & ~F.coalesce(deep["failed"], F.lit(False)), deep["data"]).alias("data_text"),
         (file_name if file_name is not None else F.lit(None).cast("string")).alias("file_name"),
         (inserted if inserted is not None else F.lit(None).cast("timestamp_ntz")).alias("_inserted_timestamp"),
     )
 
 
+def unreadable(df: DataFrame, text: str = "value") -> DataFrame:
+    """The rows whose text is no JSON object: what a run should report instead of losing."""
+    raw = F.col(text)
+    rec = df.select("*", F.try_parse_json(raw).alias("_rec"))
+    rec = rec.withColumn("_deep", _deep_record(F.when(F.col("_rec").isNull(), raw)))
+    shallow = F.schema_of_variant("_rec").startswith("OBJECT")
+    deep = F.coalesce(F.col("_deep.data"), F.col("_deep.value"), F.col("_deep.partition_key")).isNotNull()
+    return rec.where(~F.coalesce(shallow, F.lit(False)) & ~deep).select(*df.columns)
+
+
 def resolve_block_number(df: DataFrame, full_scan: bool = False) -> DataFrame:
     """First non-null of the record key, (full scan: lower-case key), the request id,
     and the id inside a stringified request; as INT (S7)."""
@@ -53,7 +93,8 @@ def resolve_block_number(df: DataFrame, full_scan: bool = False) -> DataFrame:
 
 def drop_failed(df: DataFrame) -> DataFrame:
     """Keep payloads without an `error` key (a JSON null error drops too)."""
-    return df.where(F.col("data").isNotNull() & jnode("data", "$.error").isNull())
+    fine = F.col("data").isNotNull() & jnode("data", "$.error").isNull()
+    return df.where(fine | F.col("data_text").isNotNull() if "data_text" in df.columns else fine)
 
 
 def extract_key(df: DataFrame, name: str, path: str, type_: str = "string") -> DataFrame:
@@ -80,12 +121,12 @@ def read_raw(spark: SparkSession, path: str, entity: str, since: dt.timedelta |
     if since is not None:
         now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         reader = reader.option("modifiedAfter", (now - since).strftime("%Y-%m-%dT%H:%M:%S"))
-    txt = reader.text(path).select("value", F.col("_metadata.file_path").alias("_path"),
+    txt = reader.text(path).where("value <> ''").select("value", F.col("_metadata.file_path").alias("_path"),
                                    F.col("_metadata.file_modification_time").alias("_mtime"))
     env = envelope_from_text(txt, "value", F.col("_path"), F.col("_mtime").cast("timestamp_ntz"))
     # partition key from the path (S4) where the record does not carry one
     env = env.withColumn("partition_key", F.coalesce(
-        "partition_key", path_partition_key(F.regexp_replace("file_name", r"^[a-z]+:/*", "/"))))
+        "partition_key", path_partition_key("file_name")))
     return bronze(env, entity, full_scan=since is None)
 
 

@@ -13,9 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.latest import latest_per_key
-from ..operators.sinks import upsert
-from ..session import ensure_checkpoint_dir
+from ..operators.sinks import apply_upsert
+from ..session import ensure_checkpoint_dir, path_exists
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -40,55 +39,50 @@ def dedupe_stream(df: DataFrame, keys: list[str], ts: str, delay: str = "24 hour
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
+BUCKETS = 64
+
+
+def _bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def _run(stream: DataFrame, mode: str, apply, checkpoint: str, available_now: bool) -> None:
+    w = stream.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    w.start().awaitTermination()
+
+
 def upsert_stream(stream: DataFrame, table_path: str, keys: list[str], order, checkpoint: str,
-                  mode: str = "merge", available_now: bool = True, partition_by: list[str] | None = None):
+                  available_now: bool = True, buckets: int = BUCKETS) -> DataFrame | None:
     """Keep `table_path` as the latest row per key of everything the stream delivered (T4).
 
-    Each micro-batch is reduced to one row per key (map-side partial aggregate),
-    merged with the stored rows of the same keys and written as a new table
-    version; the batch id makes a replayed batch a no-op.
+    The table is the only state beside the stream's checkpoint: a restart goes on from
+    both. A micro-batch is reduced to one row per key, competes with the stored rows of its
+    keys and rewrites only their hash buckets; a replayed batch changes nothing. Returns
+    the table, or None while nothing has ever arrived.
     """
     spark = stream.sparkSession
-    state = {"version": None}
 
     def apply(batch: DataFrame, batch_id: int):
-        latest = latest_per_key(batch, keys, order)
-        cur = state["version"]
-        target = spark.read.parquet(cur) if cur else None
-        merged = latest if target is None else latest_per_key(upsert(target, latest, keys, "replace_key")
-                                                              .unionByName(join_back(target, latest, keys)),
-                                                              keys, order)
-        out = f"{table_path}/v={batch_id:06d}"
-        w = merged.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(out)
-        state["version"] = out
-
-    def join_back(target: DataFrame, latest: DataFrame, k: list[str]) -> DataFrame:
-        # stored rows of keys present in the batch compete with the batch rows
-        return target.join(latest.select(*k).distinct(), k, "left_semi")
-
-    w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    q = w.start()
-    q.awaitTermination()
-    return state["version"]
+        if not batch.isEmpty():
+            apply_upsert(spark, table_path, _bucketed(batch, keys, buckets), keys, "bucket", order=order, competing=True)
+    _run(stream, "append", apply, checkpoint, available_now)
+    return _table(spark, table_path)
 
 
-def counters_stream(stream: DataFrame, key: str, value_cols: dict[str, object], checkpoint: str,
-                    table_path: str) -> DataFrame:
-    """Running counters per key (T5): a streaming aggregate (state in the checkpoint);
-    each trigger writes the updated totals as a parquet table version."""
+def counters_stream(stream: DataFrame, key: str, value_cols: dict[str, object], checkpoint: str, table_path: str,
+                    available_now: bool = True, buckets: int = BUCKETS) -> DataFrame | None:
+    """Running counters per key (T5): a streaming aggregate whose state lives in the checkpoint;
+    each trigger upserts the changed keys' totals only. Returns as upsert_stream does."""
+    spark = stream.sparkSession
     agg = stream.groupBy(key).agg(*[expr.alias(name) for name, expr in value_cols.items()])
-    state = {"path": None}
 
-    def write(batch: DataFrame, batch_id: int):
-        out = f"{table_path}/v={batch_id:06d}"
-        batch.write.mode("overwrite").parquet(out)
-        state["path"] = out
+    def apply(batch: DataFrame, batch_id: int):
+        if not batch.isEmpty():
+            apply_upsert(spark, table_path, _bucketed(batch, [key], buckets), key, "bucket")
+    _run(agg, "update", apply, checkpoint, available_now)
+    return _table(spark, table_path)
+
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return stream.sparkSession.read.parquet(state["path"])
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.parquet(path).drop("bucket") if path_exists(spark, path) else None

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import as_variant, jget
 from ledgerlake.operators import (add_totals, ancestor_flag, child_counts, flatten_tree, has_error, latest_per_key,
-                                  latest_per_key_window, not_in, number_within, preorder_index, sequence_gaps,
+                                  not_in, number_within, preorder_index, sequence_gaps,
                                   upsert, with_constants)
 
 TREE = ('{"from":"0xa","type":"CALL","value":"0xde0b6b3a7640000","calls":['
@@ -18,12 +18,11 @@ EXPECTED = [(0, "ORIGIN", None, "0xa", 3, True), (1, "0", "ORIGIN", "0xb", 2, Fa
 def _nodes(spark):
     df = spark.createDataFrame([(1, 0, TREE)], "block_number long, tx_position int, j string") \
         .select("block_number", "tx_position", as_variant("j").alias("v"))
-    return flatten_tree(df, "v", ["block_number", "tx_position"], inherit={"path_error": has_error})
+    return flatten_tree(df, "v", ["block_number", "tx_position"], inherit={"path_error": "error"})
 
 
 def test_flatten_tree_fixture(spark):
     n = _nodes(spark)
-    n = preorder_index(n, ["block_number", "tx_position"], mode="window")
     got = sorted((r.trace_index, r.trace_address, r.parent_trace_address, r.f, r.sub_traces, not r.path_error)
                  for r in n.select("*", jget("node", "$.from").alias("f")).collect())
     assert got == EXPECTED
@@ -34,26 +33,29 @@ def test_flat_operators_agree_with_walk(spark):
     n = _nodes(spark).withColumn("own", has_error(F.col("node")))
     n = child_counts(n, g, name="kids")
     n = ancestor_flag(n, g, "own", name="anc")
-    n = preorder_index(n, g, mode="split")
+    n = preorder_index(n, g, name="position", mode="split")
     for r in n.collect():
-        assert r.kids == r.sub_traces and r.anc == r.path_error
+        assert r.kids == r.sub_traces and r.anc == r.path_error and r.position == r.trace_index
 
 
 def test_twelve_siblings_are_not_children(spark):
     kids = ",".join('{"from":"k%d"%s}' % (i, ',"error":"x"' if i == 1 else "") for i in range(13))
     doc = '{"from":"r","calls":[{"from":"p","calls":[%s]}]}' % kids
     df = spark.createDataFrame([(1, doc)], "k long, j string").select("k", as_variant("j").alias("v"))
-    n = flatten_tree(df, "v", ["k"], inherit={"bad": has_error}).withColumn("own", has_error(F.col("node")))
+    n = flatten_tree(df, "v", ["k"], inherit={"bad": "error"}).withColumn("own", has_error(F.col("node")))
     n = ancestor_flag(n, ["k"], "own", name="anc")
     rows = {r.trace_address: (r.bad, r.anc) for r in n.collect()}
     assert rows["0_1"] == (True, True) and rows["0_12"] == (False, False)
 
 
-def test_latest_per_key_matches_window(spark):
+def test_latest_per_key_takes_the_newest(spark):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    a = latest_per_key(ev, ["user_id"], ["ts desc", "event_id desc"])
-    b = latest_per_key_window(ev, ["user_id"], ["ts desc", "event_id desc"])
-    assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count()
+    best = {}
+    for r in ev.collect():
+        if r.user_id not in best or (r.ts, r.event_id) > (best[r.user_id].ts, best[r.user_id].event_id):
+            best[r.user_id] = r
+    got = latest_per_key(ev, ["user_id"], ["ts desc", "event_id desc"])
+    assert {r.user_id: r for r in got.select(*ev.columns).collect()} == best
 
 
 def test_latest_per_key_nulls_first_default(spark):
