@@ -31,6 +31,7 @@ ZERO_EPOCH = 788_918_400  # seconds of that day
 BLOCK_ORDERS = 20
 BLOCK_SECONDS = 12
 RUN_TS = dt.datetime(2024, 2, 1, 0, 0, 0)
+BLOCK_ROOTS = ["sha3Uncles", "receiptsRoot", "stateRoot", "transactionsRoot"]
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
               "l_returnflag", "l_linestatus", "l_shipdate"]
 
@@ -102,7 +103,10 @@ def bronze_transactions(tx: DataFrame) -> DataFrame:
         F.concat(F.lit("0x"), F.md5(F.concat(F.lit("r"), F.col("o_orderkey").cast("string")))).alias("r"),
         F.concat(F.lit("0x"), F.md5(F.concat(F.lit("s"), F.col("o_orderkey").cast("string")))).alias("s"),
         F.col("to_addr").alias("to"), hx(F.col("tx_position")).alias("transactionIndex"),
-        F.lit("0x2").alias("type"), F.lit("0x1").alias("v"), F.col("value_hex").alias("value"))
+        F.lit("0x2").alias("type"), F.lit("0x1").alias("v"), F.col("value_hex").alias("value"),
+        hx((F.pmod("o_custkey", F.lit(50)) + 2) * F.lit(1000000000)).alias("maxFeePerGas"),
+        hx(F.lit(1500000000).cast("bigint")).alias("maxPriorityFeePerGas"),
+        F.array(F.struct(F.col("from_addr").alias("address"))).alias("accessList"))
     return _envelope(tx, d, F.struct(F.col("block_number").alias("BLOCK_NUMBER"),
                                      F.col("tx_position").cast("int").alias("array_index")))
 
@@ -152,7 +156,11 @@ def bronze_blocks(tx: DataFrame) -> DataFrame:
         hx(F.lit(500) + F.lit(100) * F.col("n")).alias("size"), hx(F.col("gas_used")).alias("gasUsed"),
         F.lit("0x1c9c380").alias("gasLimit"), F.lit("0x0000000000000000").alias("nonce"),
         word(F.col("block_number") - 1).alias("parentHash"), F.array().cast("array<string>").alias("uncles"),
-        F.lit("0x0").alias("difficulty"))
+        F.lit("0x0").alias("difficulty"), hx(F.col("block_number") * 3).alias("totalDifficulty"),
+        addr(F.col("block_number") + 77).alias("miner"), word(F.col("block_number") + 1).alias("mixHash"),
+        hx(F.col("block_number") + 5).alias("extraData"), hx(F.col("block_number") + 7).alias("baseFeePerGas"),
+        *[word(F.col("block_number") + i).alias(c) for i, c in enumerate(BLOCK_ROOTS, 10)],
+        hx(F.col("block_number") + 20).alias("logsBloom"))
     return _envelope(per, d, F.struct(F.col("block_number").alias("BLOCK_NUMBER")))
 
 

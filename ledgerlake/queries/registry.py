@@ -23,8 +23,10 @@ from ..operators.latest import latest_per_key
 from ..operators.tree import ancestor_flag, child_counts, flatten_tree, has_error, preorder_index
 from ..plans import contracts as CT
 from ..plans import gold as GD
+from ..plans import ingest as IN
+from ..plans.run import run_model
 from . import chain as CH
-from .sqlparts import LINES_CTE, NODES_CTE, TX_CTE, addr, shift_sql, word
+from .sqlparts import BLOCK_SQL, LINES_CTE, LOG_SQL, NODES_CTE, TRACE_SQL, TX_CTE, TX_SQL, addr, shift_sql, word
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -227,23 +229,40 @@ def q_tree_errors(spark, sf):
                     (~F.col("any_error")).alias("trace_succeeded_join"))
 
 
-@query("call_tree_fact", f"""
-WITH {TX_CTE}, {NODES_CTE}
-SELECT n.block_number, t.block_timestamp, t.tx_hash, n.tx_position, n.trace_index, n.from_address,
-       n.to_address, n.type, n.trace_address, n.sub_traces,
-       CAST({shift_sql('n.value_raw', 18)} AS DOUBLE) AS value, n.value_raw::VARCHAR AS value_precise_raw,
-       {shift_sql('n.value_raw', 18)} AS value_precise,
-       t.from_addr AS origin_from_address, nullif(t.to_addr, '') AS origin_to_address,
-       left(t.input, 10) AS origin_function_signature, NOT n.path_error AS trace_succeeded,
-       CASE WHEN n.own_error THEN CASE n.depth WHEN 0 THEN 'urgent' WHEN 1 THEN 'insolvent' ELSE 'returned' END
-       END AS error_reason, t.tx_succeeded
-FROM nodes n JOIN tx t ON t.o_orderkey = n.o_orderkey""")
+def _plain(fact):
+    """All columns of a fact but the run stamps; JSON as text, small integers as BIGINT."""
+    cols = []
+    for f in fact.schema.fields:
+        if f.name in ("inserted_timestamp", "modified_timestamp"):
+            continue
+        kind = f.dataType.typeName()
+        c = F.col(f.name)
+        cols.append((F.to_json(c) if kind == "variant" else c.cast("bigint") if kind == "integer" else c).alias(f.name))
+    return fact.select(*cols)
+
+
+@query("call_tree_fact", TRACE_SQL)
 def q_call_tree_fact(spark, sf):
-    f = chain(spark, sf).gold("traces")
-    return f.select("block_number", "block_timestamp", "tx_hash", "tx_position", "trace_index", "from_address",
-                    "to_address", "type", "trace_address", F.col("sub_traces").cast("bigint"), "value",
-                    "value_precise_raw", "value_precise", "origin_from_address", "origin_to_address",
-                    "origin_function_signature", "trace_succeeded", "error_reason", "tx_succeeded")
+    return _plain(chain(spark, sf).gold("traces"))
+
+
+@query("deep_calls", """
+WITH n AS (SELECT o_orderkey // 1024 AS doc, o_orderkey, o_orderstatus,
+                  row_number() OVER (PARTITION BY o_orderkey // 1024 ORDER BY o_orderkey) - 1 AS pos FROM orders)
+SELECT doc, pos::BIGINT AS depth, pos::BIGINT AS trace_index, o_orderkey,
+       max((o_orderstatus = 'P')::INT) OVER (PARTITION BY doc ORDER BY pos) = 1 AS path_error,
+       (pos < max(pos) OVER (PARTITION BY doc))::BIGINT AS sub_traces FROM n""")
+def q_deep_calls(spark, sf):
+    """1,024 orders in a row as one call chain: deeper than VARIANT parses."""
+    o = T(spark, sf, "orders").select(F.floor(F.col("o_orderkey") / 1024).alias("doc"), "o_orderkey", "o_orderstatus")
+    node = F.concat(F.lit('{"key":'), F.col("o_orderkey").cast("string"), F.when(F.col("o_orderstatus") == "P", ',"error":"p"')
+                    .otherwise(""))
+    per = o.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", node.alias("n")))).alias("a"))
+    text = F.concat(F.array_join(F.transform("a", lambda x: x["n"]), ',"calls":['), F.lit("}"),
+                    F.repeat(F.lit("]}"), F.size("a") - 1))
+    n = flatten_tree(per.select("doc", text.alias("text")), "text", ["doc"], inherit={"path_error": "error"})
+    return n.select("doc", F.col("depth").cast("bigint"), F.col("trace_index").cast("bigint"),
+                    LF.jget("node", "$.key", "bigint").alias("o_orderkey"), "path_error", F.col("sub_traces").cast("bigint"))
 
 
 @query("deep_chain", """
@@ -267,54 +286,19 @@ def q_deep_chain(spark, sf):
 
 
 # ------------------------------------------------------------ M1, M5-M7
-@query("block_fact", f"""
-WITH {TX_CTE}
-SELECT block_number, {word('block_number')} AS block_hash, min(block_timestamp) AS block_timestamp,
-       count(*)::BIGINT AS tx_count, (500 + 100 * count(*))::BIGINT AS size,
-       sum(gas_used)::BIGINT AS gas_used, 30000000::BIGINT AS gas_limit, 0::DECIMAL(38,0) AS nonce,
-       md5(block_number::VARCHAR) AS fact_blocks_id
-FROM tx GROUP BY block_number""")
+@query("block_fact", BLOCK_SQL)
 def q_block_fact(spark, sf):
-    b = chain(spark, sf).gold("blocks")
-    return b.select("block_number", "block_hash", "block_timestamp", F.col("tx_count").cast("bigint"), "size",
-                    "gas_used", "gas_limit", "nonce", "fact_blocks_id")
+    return _plain(chain(spark, sf).gold("blocks"))
 
 
-@query("tx_fact", f"""
-WITH {TX_CTE}
-SELECT block_number, block_timestamp, tx_hash, from_addr AS from_address, nullif(to_addr, '') AS to_address,
-       left(input, 10) AS origin_function_signature,
-       CAST({shift_sql('cents::HUGEINT * 18446744073709551616', 18)} AS DOUBLE) AS value,
-       (cents::HUGEINT * 18446744073709551616)::VARCHAR AS value_precise_raw,
-       {shift_sql('cents::HUGEINT * 18446744073709551616', 18)} AS value_precise,
-       CAST({shift_sql('gas_price_wei * gas_used', 18)} AS DOUBLE) AS tx_fee,
-       {shift_sql('gas_price_wei * gas_used', 18)} AS tx_fee_precise,
-       tx_succeeded, tx_position, gas_price_wei::DOUBLE / 1e9 AS gas_price, gas_used,
-       (21000 + 1000 * (o_custkey % 100))::BIGINT AS gas_limit, o_orderkey::DECIMAL(38,0) AS nonce
-FROM tx""")
+@query("tx_fact", TX_SQL)
 def q_tx_fact(spark, sf):
-    t = chain(spark, sf).gold("transactions")
-    return t.select("block_number", "block_timestamp", "tx_hash", "from_address", "to_address",
-                    "origin_function_signature", "value", "value_precise_raw", "value_precise", "tx_fee",
-                    "tx_fee_precise", "tx_succeeded", "tx_position", "gas_price", "gas_used", "gas_limit", "nonce")
+    return _plain(chain(spark, sf).gold("transactions"))
 
 
-@query("log_fact", f"""
-WITH {TX_CTE}, {LINES_CTE}
-SELECT block_number, block_timestamp, tx_hash, tx_position, log_index AS event_index,
-       '0x' || lpad(lower(hex(l_suppkey)), 40, '0') AS contract_address,
-       '0x' || md5(l_returnflag) AS topic_0, {word('l_partkey')} AS topic_1, {word('l_linenumber')} AS topic_2,
-       CASE WHEN l_linestatus = 'O' THEN '0x' || md5(l_linestatus) END AS topic_3,
-       '0x' || lower(hex(round(l_extendedprice * 100)::BIGINT)) AS data, false AS event_removed,
-       from_addr AS origin_from_address, to_addr AS origin_to_address,
-       left(tx_input, 10) AS origin_function_signature, tx_succeeded
-FROM lines""")
+@query("log_fact", LOG_SQL)
 def q_log_fact(spark, sf):
-    e = chain(spark, sf).gold("event_logs")
-    return e.select("block_number", "block_timestamp", "tx_hash", F.col("tx_position").cast("bigint"),
-                    F.col("event_index").cast("bigint"), "contract_address", "topic_0", "topic_1", "topic_2",
-                    "topic_3", "data", "event_removed", "origin_from_address", "origin_to_address",
-                    "origin_function_signature", "tx_succeeded")
+    return _plain(chain(spark, sf).gold("event_logs"))
 
 
 # ------------------------------------------------------------ W1-W4, T2-T5
@@ -358,22 +342,117 @@ def q_merge_pruned(spark, sf):
     return SK.upsert(target, batch, "o_orderkey", "merge", prune_on="o_orderdate")
 
 
-@query("heal_late", ORACLES.get("tx_fact"))
+RUNS = (dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2), dt.datetime(2024, 2, 3))
+
+
+def _stamped(df, late):
+    """`df` as the second run finds it: rows for which `late` holds came after the first."""
+    return df.withColumn("modified_timestamp", F.when(late, LF.lit_ts(RUNS[1] - dt.timedelta(hours=1)))
+                         .otherwise(LF.lit_ts(RUNS[0] - dt.timedelta(hours=1))))
+
+
+def _two_runs(spark, name, key, source, late, first_lookups, lookups, build):
+    """A stored fact after two runs. The first sees the early rows and lookups that lack some parents;
+    the second gets the late rows as a true delta and heals what the first could not complete."""
+    from ..streaming import work_dir
+    path = work_dir(spark, name)
+    early = source.where(~late)
+    run_model(spark, path, lambda target: build(early, *first_lookups, RUNS[0], target), key, "bucket", bucket_of="block_number")
+    return run_model(spark, path, lambda target: build(_stamped(source, late), *lookups, RUNS[1], target), key, "bucket",
+                     bucket_of="block_number", keep_existing=["inserted_timestamp"]).drop("bucket")
+
+
+@query("heal_late", TX_SQL)
 def q_heal_late(spark, sf):
-    """First run sees only even blocks (odd ones arrive late); the second
-    run heals the rows whose block was missing. The result equals a one-shot build."""
     c = chain(spark, sf)
-    blocks = c.gold("blocks")
+    blocks = _stamped(c.gold("blocks"), F.lit(False))
+    receipts = _stamped(c.silver("receipts"), F.lit(False))
     early = blocks.where(F.col("block_number") % 2 == 0)
-    run1 = dt.datetime(2024, 2, 1)
-    first = GD.fact_transactions(c.silver("transactions"), early, c.silver("receipts"), run1)
-    first = first.checkpoint()
-    run2 = dt.datetime(2024, 2, 2)
-    second = GD.fact_transactions(c.silver("transactions"), blocks, c.silver("receipts"), run2, target=first)
-    t = SK.upsert(first, second, "tx_hash", "replace_key")
-    return t.select("block_number", "block_timestamp", "tx_hash", "from_address", "to_address",
-                    "origin_function_signature", "value", "value_precise_raw", "value_precise", "tx_fee",
-                    "tx_fee_precise", "tx_succeeded", "tx_position", "gas_price", "gas_used", "gas_limit", "nonce")
+    return _plain(_two_runs(spark, "heal-tx", "tx_hash", _stamped(c.silver("transactions"), F.lit(False)),
+                            F.col("tx_position") % 3 == 1, (early, receipts), (blocks, receipts), GD.fact_transactions))
+
+
+@query("heal_logs", LOG_SQL)
+def q_heal_logs(spark, sf):
+    c = chain(spark, sf)
+    blocks, txs = (_stamped(c.gold(n), F.lit(False)) for n in ("blocks", "transactions"))
+    few = txs.where(F.col("block_number") % 2 == 0)
+    return _plain(_two_runs(spark, "heal-logs", ["tx_hash", "event_index"], _stamped(c.silver("receipts"), F.lit(False)),
+                            F.col("block_number") % 5 == 1, (blocks, few), (blocks, txs), GD.fact_event_logs))
+
+
+@query("heal_traces", TRACE_SQL)
+def q_heal_traces(spark, sf):
+    c = chain(spark, sf)
+    txs = _stamped(c.gold("transactions"), F.lit(False))
+    few = txs.where(F.col("block_number") % 2 == 0)
+    return _plain(_two_runs(spark, "heal-traces", ["block_number", "tx_position", "trace_index"],
+                            _stamped(c.silver("traces"), F.lit(False)), F.col("block_number") % 5 == 1, (few,), (txs,),
+                            GD.fact_traces))
+
+
+@query("relevant_contracts", f"""
+WITH {TX_CTE}, {NODES_CTE},
+e AS (SELECT {addr('l_suppkey')} AS a, count(*) AS n, max(t.block_number) AS b FROM lineitem JOIN tx t ON t.o_orderkey = l_orderkey GROUP BY 1),
+c AS (SELECT n.to_address AS a, count(*) AS n, max(n.block_number) AS b FROM nodes n JOIN tx t ON t.o_orderkey = n.o_orderkey
+      WHERE t.tx_succeeded AND NOT n.path_error AND n.to_address <> '' AND n.input IS NOT NULL AND n.input <> '0x' GROUP BY 1)
+SELECT coalesce(e.a, c.a) AS contract_address, coalesce(e.n, 0)::BIGINT AS total_event_count,
+       coalesce(c.n, 0)::BIGINT AS total_call_count, (coalesce(e.n, 0) + coalesce(c.n, 0))::BIGINT AS total_interaction_count,
+       coalesce(e.b, 0)::BIGINT AS latest_event_block, coalesce(c.b, 0)::BIGINT AS latest_call_block
+FROM e FULL JOIN c ON e.a = c.a""")
+def q_relevant_contracts(spark, sf):
+    """Running counts over two runs: odd blocks come with the second."""
+    c = chain(spark, sf)
+    late = F.col("block_number") % 2 == 1
+
+    def at(df, run):
+        return df.withColumn("inserted_timestamp", F.when(late, LF.lit_ts(RUNS[1])).otherwise(LF.lit_ts(RUNS[0]))) \
+            .where(F.col("inserted_timestamp") <= LF.lit_ts(RUNS[run]))
+    logs, calls = c.gold("event_logs"), c.gold("traces").where(F.col("to_address") != "")
+    first = CT.relevant_contracts(at(logs, 0), at(calls, 0)).checkpoint()
+    second = CT.relevant_contracts(at(logs, 1), at(calls, 1), prev=first)
+    return SK.upsert(first, second, "contract_address").select(
+        "contract_address", "total_event_count", "total_call_count", "total_interaction_count", "latest_event_block",
+        "latest_call_block")
+
+
+@query("ledger_receipts", f"""
+WITH {TX_CTE}
+SELECT block_number, tx_hash, md5(block_number::VARCHAR || '-' || tx_hash) AS complete_receipts_by_hash_id,
+       block_number % 2 = 1 AS second_run FROM tx""")
+def q_ledger_receipts(spark, sf):
+    """The receipts ledger over two runs of the raw files' rows."""
+    b = chain(spark, sf).bronze("receipts_by_hash").select("block_number", "tx_hash", "file_name")
+    late = F.col("block_number") % 2 == 1
+    b = b.withColumn("_inserted_timestamp", F.when(late, LF.lit_ts(RUNS[1])).otherwise(LF.lit_ts(RUNS[0])))
+    first = IN.ledger(None, b.where(~late), "receipts_by_hash").checkpoint()
+    both = IN.ledger(first, b, "receipts_by_hash")
+    return both.select(F.col("block_number").cast("bigint"), "tx_hash", "complete_receipts_by_hash_id",
+                       (F.col("_inserted_timestamp") == LF.lit_ts(RUNS[1])).alias("second_run"))
+
+
+@query("receipts_backlog", f"""
+WITH {TX_CTE}
+SELECT block_number, tx_hash, round(block_number, -3)::BIGINT AS partition_key,
+       '{{"id":' || block_number::VARCHAR || ',"jsonrpc":"2.0","method":"eth_getTransactionReceipt","params":["' || tx_hash || '"]}}' AS request
+FROM tx WHERE block_number < 40 AND NOT coalesce(tx_succeeded, false)""")
+def q_receipts_backlog(spark, sf):
+    """History form: hashes listed by the blocks' answers, less those a ledger has."""
+    c = chain(spark, sf)
+    done = c.gold("transactions").where("tx_succeeded").select("block_number", "tx_hash")
+    out = IN.receipts_backlog(IN.receipts_todo(c.silver("blocks")), done, before_block=40, cap=None)
+    return out.select(F.col("block_number").cast("bigint"), "tx_hash", "partition_key", "request")
+
+
+@query("traces_history", """
+SELECT o_orderkey AS block_number, round(o_orderkey, -3)::BIGINT AS partition_key,
+       '{"id":' || o_orderkey::VARCHAR || ',"jsonrpc":"2.0","method":"debug_traceBlockByNumber","params":["0x'
+         || lower(hex(o_orderkey)) || '",{"tracer":"callTracer","timeout":"120s"}]}' AS request
+FROM (SELECT o_orderkey FROM orders EXCEPT SELECT l_orderkey FROM lineitem) WHERE o_orderkey < 900""")
+def q_traces_history(spark, sf):
+    spine = T(spark, sf, "orders").select(F.col("o_orderkey").alias("block_number"))
+    led = T(spark, sf, "lineitem").select(F.col("l_orderkey").alias("block_number"))
+    return IN.traces_backlog(spine, led, before_block=900, cap=None)
 
 
 @query("running_counts", """

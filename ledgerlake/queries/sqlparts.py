@@ -75,7 +75,9 @@ nodes AS (
          0::BIGINT AS depth, 0::BIGINT AS trace_index, coalesce(n.n_sup, 0)::BIGINT AS sub_traces,
          'CALL' AS type, t.from_addr AS from_address, t.to_addr AS to_address,
          (t.o_orderpriority = '1-URGENT') AS own_error, (t.o_orderpriority = '1-URGENT') AS path_error,
-         t.cents::HUGEINT * 18446744073709551616 AS value_raw, t.input AS input
+         t.cents::HUGEINT * 18446744073709551616 AS value_raw, t.input AS input,
+         '0x' || lower(hex(t.cents)) || '0000000000000000' AS value_hex,
+         (21000 + 1000 * (t.o_custkey % 100))::BIGINT AS gas, t.gas_used AS gas_used
   FROM tx t LEFT JOIN (SELECT DISTINCT l_orderkey, n_sup FROM sup_calls2) n ON n.l_orderkey = t.o_orderkey
   UNION ALL
   SELECT t.o_orderkey, t.block_number, t.tx_position, s.sup_pos::VARCHAR, 'ORIGIN', 1, s.sup_index,
@@ -83,7 +85,7 @@ nodes AS (
          '0x' || lpad(lower(hex(s.l_suppkey)), 40, '0'),
          coalesce(sp.s_acctbal < 0, false),
          (t.o_orderpriority = '1-URGENT') OR coalesce(sp.s_acctbal < 0, false),
-         0::HUGEINT, '0x' || substr(md5(sp.s_name), 1, 8)
+         0::HUGEINT, '0x' || substr(md5(sp.s_name), 1, 8), '0x0', 21000, 21000
   FROM sup_calls2 s JOIN tx t ON t.o_orderkey = s.l_orderkey LEFT JOIN supplier sp ON sp.s_suppkey = s.l_suppkey
   UNION ALL
   SELECT t.o_orderkey, t.block_number, t.tx_position, s.sup_pos::VARCHAR || '_' || lc.line_pos::VARCHAR,
@@ -91,7 +93,69 @@ nodes AS (
          '0x' || lpad(lower(hex(lc.l_suppkey)), 40, '0'), '0x' || lpad(lower(hex(lc.l_partkey)), 40, '0'),
          lc.l_returnflag = 'R',
          (t.o_orderpriority = '1-URGENT') OR coalesce(sp.s_acctbal < 0, false) OR lc.l_returnflag = 'R',
-         round(lc.l_extendedprice * 100)::HUGEINT, '0x' || md5(lc.l_partkey::VARCHAR)
+         round(lc.l_extendedprice * 100)::HUGEINT, '0x' || md5(lc.l_partkey::VARCHAR),
+         '0x' || lower(hex(round(lc.l_extendedprice * 100)::BIGINT)), lc.l_quantity::BIGINT * 1000, lc.l_linenumber::BIGINT * 100
   FROM line_calls lc JOIN sup_calls2 s ON s.l_orderkey = lc.l_orderkey AND s.l_suppkey = lc.l_suppkey
   JOIN tx t ON t.o_orderkey = lc.l_orderkey LEFT JOIN supplier sp ON sp.s_suppkey = lc.l_suppkey)
 """
+
+
+# the facts, column by column
+TRACE_SQL = f"""
+WITH {TX_CTE}, {NODES_CTE}
+SELECT n.block_number, t.block_timestamp, t.tx_hash, n.tx_position, n.trace_index, n.from_address,
+       n.to_address, n.type, n.trace_address, n.sub_traces,
+       CAST({shift_sql('n.value_raw', 18)} AS DOUBLE) AS value, n.value_raw::VARCHAR AS value_precise_raw,
+       {shift_sql('n.value_raw', 18)} AS value_precise, n.value_hex, n.gas, n.gas_used, n.input, '0x' AS output,
+       t.from_addr AS origin_from_address, nullif(t.to_addr, '') AS origin_to_address,
+       left(t.input, 10) AS origin_function_signature, NOT n.path_error AS trace_succeeded,
+       CASE WHEN n.own_error THEN CASE n.depth WHEN 0 THEN 'urgent' WHEN 1 THEN 'insolvent' ELSE 'returned' END
+       END AS error_reason, NULL::VARCHAR AS revert_reason, t.tx_succeeded,
+       md5(n.block_number::VARCHAR || '-' || n.tx_position::VARCHAR || '-' || n.trace_index::VARCHAR) AS fact_traces_id
+FROM nodes n JOIN tx t ON t.o_orderkey = n.o_orderkey"""
+
+BLOCK_SQL = f"""
+WITH {TX_CTE}
+SELECT block_number, {word('block_number')} AS block_hash, min(block_timestamp) AS block_timestamp, 'testnet' AS network,
+       count(*)::BIGINT AS tx_count, (500 + 100 * count(*))::BIGINT AS size, {addr('block_number + 77')} AS miner,
+       {word('block_number + 1')} AS mix_hash, {hx('block_number + 5')} AS extra_data,
+       CASE WHEN block_number = 0 THEN '0x' || lpad(lower(hex(-1::BIGINT)), 64, '0')
+            ELSE {word('block_number - 1')} END AS parent_hash,
+       sum(gas_used)::BIGINT AS gas_used, 30000000::BIGINT AS gas_limit, (block_number + 7)::DECIMAL(38,0) AS base_fee_per_gas,
+       0::DECIMAL(38,0) AS difficulty, (block_number * 3)::DECIMAL(38,0) AS total_difficulty,
+       {word('block_number + 10')} AS sha3_uncles, '[]' AS uncle_blocks, 0::DECIMAL(38,0) AS nonce,
+       {word('block_number + 11')} AS receipts_root, {word('block_number + 12')} AS state_root,
+       {word('block_number + 13')} AS transactions_root, {hx('block_number + 20')} AS logs_bloom,
+       md5(block_number::VARCHAR) AS fact_blocks_id
+FROM tx GROUP BY block_number"""
+
+TX_SQL = f"""
+WITH {TX_CTE}
+SELECT block_number, block_timestamp, tx_hash, from_addr AS from_address, nullif(to_addr, '') AS to_address,
+       left(input, 10) AS origin_function_signature,
+       CAST({shift_sql('cents::HUGEINT * 18446744073709551616', 18)} AS DOUBLE) AS value,
+       (cents::HUGEINT * 18446744073709551616)::VARCHAR AS value_precise_raw,
+       {shift_sql('cents::HUGEINT * 18446744073709551616', 18)} AS value_precise,
+       CAST({shift_sql('gas_price_wei * gas_used', 18)} AS DOUBLE) AS tx_fee,
+       {shift_sql('gas_price_wei * gas_used', 18)} AS tx_fee_precise,
+       tx_succeeded, 2::BIGINT AS tx_type, o_orderkey::DECIMAL(38,0) AS nonce, tx_position, input AS input_data,
+       gas_price_wei::DOUBLE / 1e9 AS gas_price, gas_used, (21000 + 1000 * (o_custkey % 100))::BIGINT AS gas_limit,
+       gas_used AS cumulative_gas_used, gas_price_wei::DECIMAL(38,0) AS effective_gas_price,
+       (o_custkey % 50 + 2)::DOUBLE AS max_fee_per_gas, 1.5::DOUBLE AS max_priority_fee_per_gas,
+       '[{{"address":"' || from_addr || '"}}]' AS access_list, '0x' || md5('r' || o_orderkey::VARCHAR) AS r,
+       '0x' || md5('s' || o_orderkey::VARCHAR) AS s, 1::BIGINT AS v, md5(tx_hash) AS fact_transactions_id
+FROM tx"""
+
+LOG_SQL = f"""
+WITH {TX_CTE}, {LINES_CTE},
+t AS (SELECT *, '0x' || md5(l_returnflag) AS topic_0, {word('l_partkey')} AS topic_1, {word('l_linenumber')} AS topic_2,
+             CASE WHEN l_linestatus = 'O' THEN '0x' || md5(l_linestatus) END AS topic_3 FROM lines)
+SELECT block_number, block_timestamp, tx_hash, tx_position, log_index AS event_index,
+       '0x' || lpad(lower(hex(l_suppkey)), 40, '0') AS contract_address,
+       '["' || concat_ws('","', topic_0, topic_1, topic_2, topic_3) || '"]' AS topics,
+       topic_0, topic_1, topic_2, topic_3,
+       '0x' || lower(hex(round(l_extendedprice * 100)::BIGINT)) AS data, false AS event_removed,
+       from_addr AS origin_from_address, to_addr AS origin_to_address,
+       left(tx_input, 10) AS origin_function_signature, tx_succeeded,
+       md5(tx_hash || '-' || log_index::VARCHAR) AS fact_event_logs_id
+FROM t"""
