@@ -24,6 +24,7 @@ from ..operators.tree import ancestor_flag, child_counts, flatten_tree, has_erro
 from ..plans import contracts as CT
 from ..plans import gold as GD
 from ..plans import ingest as IN
+from ..plans import suites as SU
 from ..plans.run import run_model
 from . import chain as CH
 from .sqlparts import BLOCK_SQL, LINES_CTE, LOG_SQL, NODES_CTE, TRACE_SQL, TX_CTE, TX_SQL, addr, shift_sql, word
@@ -603,26 +604,31 @@ def q_created_latest(spark, sf):
 
 @query("contract_dim", f"""
 WITH c0 AS (SELECT upper({addr('c_custkey')}) AS created_contract_address, c_custkey AS block_number,
-                   c_name AS creator_address FROM customer),
-c1 AS (SELECT {addr('s_suppkey')} AS contract_address, s_name AS token_name, upper(s_name) AS token_symbol
-       FROM supplier)
+                   c_name AS creator_address, TIMESTAMP '2024-01-03' + to_seconds(c_custkey) AS ts,
+                   '0x' || md5(c_name) AS tx_hash FROM customer),
+c1 AS (SELECT {addr('s_suppkey')} AS contract_address, s_name AS token_name, upper(s_name) AS token_symbol,
+              s_nationkey::INT AS token_decimals, TIMESTAMP '2024-01-03' + to_seconds(s_suppkey * 2) AS ts FROM supplier)
 SELECT lower(coalesce(created_contract_address, contract_address)) AS address, token_symbol AS symbol,
-       token_name AS name, block_number AS created_block_number, creator_address,
-       md5(lower(coalesce(created_contract_address, contract_address))) AS dim_contracts_id
+       token_name AS name, token_decimals AS decimals, block_number AS created_block_number,
+       c0.ts AS created_block_timestamp, tx_hash AS created_tx_hash, creator_address,
+       md5(lower(coalesce(created_contract_address, contract_address))) AS dim_contracts_id,
+       greatest(coalesce(c0.ts, TIMESTAMP '2000-01-01'), coalesce(c1.ts, TIMESTAMP '2000-01-01')) AS inserted_timestamp,
+       greatest(coalesce(c0.ts, TIMESTAMP '2000-01-01'), coalesce(c1.ts, TIMESTAMP '2000-01-01')) AS modified_timestamp
 FROM c0 FULL OUTER JOIN c1 ON lower(created_contract_address) = lower(contract_address)""")
 def q_contract_dim(spark, sf):
-    ts = F.lit(CH.RUN_TS).cast("timestamp_ntz")
-    c0 = T(spark, sf, "customer").select(
-        F.upper(CH.addr(F.col("c_custkey"))).alias("created_contract_address"),
-        F.col("c_custkey").alias("block_number"), F.lit(None).cast("timestamp_ntz").alias("block_timestamp"),
-        F.lit(None).cast("string").alias("tx_hash"), F.col("c_name").alias("creator_address"),
-        ts.alias("inserted_timestamp"), ts.alias("modified_timestamp"))
-    c1 = T(spark, sf, "supplier").select(
+    def at(seconds):
+        return F.timestamp_add("SECOND", seconds, LF.lit_ts(dt.datetime(2024, 1, 3)))
+    c, s = T(spark, sf, "customer"), T(spark, sf, "supplier")
+    t0, t1 = at(F.col("c_custkey")), at(F.col("s_suppkey") * 2)
+    c0 = c.select(
+        F.upper(CH.addr(F.col("c_custkey"))).alias("created_contract_address"), F.col("c_custkey").alias("block_number"),
+        t0.alias("block_timestamp"), F.concat(F.lit("0x"), F.md5("c_name")).alias("tx_hash"),
+        F.col("c_name").alias("creator_address"), t0.alias("inserted_timestamp"), t0.alias("modified_timestamp"))
+    c1 = s.select(
         CH.addr(F.col("s_suppkey")).alias("contract_address"), F.upper("s_name").alias("token_symbol"),
-        F.col("s_name").alias("token_name"), F.lit(None).cast("int").alias("token_decimals"),
-        ts.alias("inserted_timestamp"), ts.alias("modified_timestamp"))
-    d = CT.dim_contracts(c0, c1)
-    return d.select("address", "symbol", "name", "created_block_number", "creator_address", "dim_contracts_id")
+        F.col("s_name").alias("token_name"), F.col("s_nationkey").cast("int").alias("token_decimals"),
+        t1.alias("inserted_timestamp"), t1.alias("modified_timestamp"))
+    return CT.dim_contracts(c0, c1)
 
 
 # ----------------------------------------------------------------- Q1-Q14
@@ -715,6 +721,54 @@ def q_check_freshness(spark, sf):
     return stale.unionByName(CK.fresh(ev, "ts", newest + dt.timedelta(hours=1), dt.timedelta(hours=2)))
 
 
+def _faulty(c):
+    """The facts with seeded faults: a lost block, transactions delivered twice, a broken hash, a cut call tree."""
+    b, t, e, n = (c.gold(x) for x in ("blocks", "transactions", "event_logs", "traces"))
+    b = b.where("block_number <> 10").withColumn("block_hash", F.when(F.col("block_number") % 7 == 0, "0x1").otherwise(F.col("block_hash")))
+    t = t.unionByName(t.where("block_number = 12"))
+    e = e.withColumn("contract_address", F.when(F.col("event_index") == 3, "0x").otherwise(F.col("contract_address")))
+    n = n.where("not (trace_index = 1 and block_number % 3 = 0)").where("block_number <> 20")
+    return {"blocks": b, "transactions": t, "event_logs": e, "traces": n}
+
+
+_SUITE_SQL = """
+WITH {tx}, {lines}, {nodes},
+b AS (SELECT block_number, count(*) AS n FROM tx WHERE block_number > {after} AND block_number <> 10 GROUP BY 1),
+t AS (SELECT * FROM tx WHERE block_number > {after} UNION ALL SELECT * FROM tx WHERE block_number = 12 AND 12 > {after}),
+n AS (SELECT * FROM nodes WHERE block_number > {after} AND NOT (trace_index = 1 AND block_number % 3 = 0) AND block_number <> 20),
+f(tbl, chk, failures, allowed) AS (
+  SELECT 'blocks', 'unique', 0, 0
+  UNION ALL SELECT 'blocks', 'gaps', (SELECT count(*) FROM (SELECT block_number - lag(block_number) OVER (ORDER BY block_number) AS d FROM b) WHERE d > 1), {allowed}
+  UNION ALL SELECT 'blocks', 'transactions as declared', (SELECT count(*) FROM b FULL JOIN (SELECT block_number, count(*) AS m FROM t GROUP BY 1) x USING (block_number) WHERE coalesce(n, 0) <> coalesce(m, 0)), 0
+  UNION ALL SELECT 'blocks', unnest(['not null block_number', 'not null block_timestamp', 'not null block_hash', 'type block_number',
+    'type tx_count', 'type size', 'type gas_used', 'type block_timestamp']), 0, 0
+  UNION ALL SELECT 'blocks', 'matches block_hash', (SELECT count(*) FROM b WHERE block_number % 7 = 0), 0
+  UNION ALL SELECT 'transactions', 'unique', (SELECT count(*) FROM tx WHERE block_number = 12 AND 12 > {after}), 0
+  UNION ALL SELECT 'transactions', 'gaps', 0, {allowed}
+  UNION ALL SELECT 'transactions', 'block missing', (SELECT count(*) FROM tx WHERE block_number = 10 AND 10 > {after}), 0
+  UNION ALL SELECT 'transactions', unnest(['not null tx_hash', 'not null from_address', 'not null block_timestamp', 'matches from_address']), 0, 0
+  UNION ALL SELECT 'event_logs', unnest(['unique', 'one transaction']), 0, 0
+  UNION ALL SELECT 'event_logs', 'gaps', 0, {allowed}
+  UNION ALL SELECT 'event_logs', 'matches contract_address', (SELECT count(*) FROM lines WHERE log_index = 3 AND block_number > {after}), 0
+  UNION ALL SELECT 'traces', 'unique', 0, 0
+  UNION ALL SELECT 'traces', 'gaps', (SELECT count(*) FROM (SELECT trace_index - lag(trace_index) OVER (PARTITION BY block_number, tx_position ORDER BY trace_index) AS d FROM n) WHERE d > 1), {allowed}
+  UNION ALL SELECT 'traces', 'transactions without traces', (SELECT count(*) FROM t WHERE block_number = 20), 0
+  UNION ALL SELECT 'traces', 'not null type', 0, 0
+  UNION ALL SELECT 'blocks', 'fresh', 1, 0)
+SELECT tbl AS "table", chk AS "check", failures::BIGINT AS failures, CASE WHEN failures > allowed THEN 'error' ELSE 'pass' END AS status FROM f"""
+
+
+@query("check_suite_full", _SUITE_SQL.format(tx=TX_CTE, lines=LINES_CTE, nodes=NODES_CTE, after=-1, allowed=0))
+def q_check_suite_full(spark, sf):
+    return SU.run_suite(spark, _faulty(chain(spark, sf)), SU.fact_suite(now=dt.datetime(2030, 1, 1)))
+
+
+@query("check_suite_recent", _SUITE_SQL.format(tx=TX_CTE, lines=LINES_CTE, nodes=NODES_CTE, after=8, allowed=10))
+def q_check_suite_recent(spark, sf):
+    tables = SU.scoped(_faulty(chain(spark, sf)), "recent", 8)
+    return SU.run_suite(spark, tables, SU.fact_suite(recent=True, now=dt.datetime(2030, 1, 1)))
+
+
 # ------------------------------------------------------------- streaming
 def _event_files(spark, sf, base: str) -> tuple[str, list]:
     """Two deliveries of the events: before and from SPLIT_TS, the second with the first's purchases again."""
