@@ -18,8 +18,10 @@ from ..operators import checks as CK
 from ..operators import incremental as INC
 from ..operators import setops as SO
 from ..operators import sinks as SK
-from ..operators.explode import explode_json
-from ..operators.latest import latest_per_key
+from ..operators.explode import explode_json, posexplode_json
+from ..operators.joins import lookup
+from ..operators.latest import latest_per_key, top_per_key
+from ..operators.numbering import number_within, with_lag
 from ..operators.tree import ancestor_flag, child_counts, flatten_tree, has_error, preorder_index
 from ..plans import contracts as CT
 from ..plans import gold as GD
@@ -769,6 +771,118 @@ def q_check_suite_recent(spark, sf):
     return SU.run_suite(spark, tables, SU.fact_suite(recent=True, now=dt.datetime(2030, 1, 1)))
 
 
+# ------------------------------------------- set operations and small shapes
+@query("union_distinct", """
+SELECT c_nationkey AS nation FROM customer UNION SELECT s_nationkey FROM supplier UNION SELECT n_nationkey FROM nation""")
+def q_union_distinct(spark, sf):
+    return SO.union_distinct(*[T(spark, sf, t).select(F.col(c).alias("nation")) for t, c in (
+        ("customer", "c_nationkey"), ("supplier", "s_nationkey"), ("nation", "n_nationkey"))])
+
+
+@query("spine_counts", """
+SELECT c_custkey, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey AND o_orderstatus IN ('F', 'O'))::BIGINT AS settled,
+       (SELECT max(o_totalprice) FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P') AS open_price
+FROM customer""")
+def q_spine_counts(spark, sf):
+    o = T(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    settled = o.where(SO.in_list("o_orderstatus", ["F", "O"])).groupBy("c_custkey").agg(F.count(F.lit(1)).alias("settled"))
+    price = o.where("o_orderstatus = 'P'").groupBy("c_custkey").agg(F.max("o_totalprice").alias("open_price"))
+    out = SO.spine_join(T(spark, sf, "customer"), [settled, price], "c_custkey")
+    return out.select("c_custkey", F.coalesce("settled", F.lit(0)).cast("bigint").alias("settled"), "open_price")
+
+
+@query("reemit_groups", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1)""")
+def q_reemit_groups(spark, sf):
+    li = T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+    hit = li.where(SO.in_list("l_returnflag", ["R"]) & (F.col("l_linenumber") == 1)).select("l_orderkey").distinct()
+    return SO.reemit_groups(li.drop("l_returnflag"), hit, "l_orderkey")
+
+
+@query("outer_on_lower", f"""
+SELECT upper({addr('c_custkey')}) AS a, {addr('s_suppkey')} AS b FROM customer FULL JOIN supplier ON c_custkey = s_suppkey""")
+def q_outer_on_lower(spark, sf):
+    a = T(spark, sf, "customer").select(F.upper(CH.addr(F.col("c_custkey"))).alias("a"))
+    b = T(spark, sf, "supplier").select(CH.addr(F.col("s_suppkey")).alias("b"))
+    return SO.full_outer_norm(a, b, "a", "b")
+
+
+@query("previous_event", """
+SELECT user_id, event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS previous FROM events""")
+def q_previous_event(spark, sf):
+    return with_lag(T(spark, sf, "events").select("user_id", "event_id"), ["user_id"], "event_id", "previous")
+
+
+@query("batch_columns", """
+WITH n AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS row_num FROM orders)
+SELECT *, ceil(row_num / 100)::BIGINT AS batch_number, ((row_num - 1) % 100 + 1)::BIGINT AS row_within_batch FROM n""")
+def q_batch_columns(spark, sf):
+    o = T(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return BL.with_batch_columns(number_within(o, ["o_orderstatus"], ["o_orderkey asc"]), "row_num")
+
+
+@query("unused_numbers", """
+SELECT r.range AS number, r.range < 700 AS history FROM range((SELECT max(o_orderkey) + 1 FROM orders)) r
+WHERE r.range NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""")
+def q_unused_numbers(spark, sf):
+    """A generated spine less the keys in use, split at a boundary and put together again."""
+    o = T(spark, sf, "orders")
+    n = BL.number_spine(spark, o.agg(F.max("o_orderkey")).first()[0] + 1).withColumnRenamed("_id", "number")
+    left = BL.missing_keys(n, o.where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("number")), ["number"])
+    recent, history = BL.split_backlog(left, 700, "number")
+    return SO.union_all(recent.withColumn("history", F.lit(False)), history.withColumn("history", F.lit(True)))
+
+
+@query("largest_line", """
+SELECT l_orderkey, max(l_extendedprice) AS l_extendedprice FROM lineitem GROUP BY l_orderkey""")
+def q_largest_line(spark, sf):
+    li = T(spark, sf, "lineitem")
+    best = top_per_key(li, ["l_orderkey"], "l_extendedprice", ["l_extendedprice"])
+    return best.select("l_orderkey", "l_extendedprice")
+
+
+@query("topic_positions", f"""
+WITH {TX_CTE}, {LINES_CTE}
+SELECT tx_hash, log_index AS event_index, unnest([0, 1, 2])::BIGINT AS position,
+       unnest(['0x' || md5(l_returnflag), {word('l_partkey')}, {word('l_linenumber')}]) AS topic FROM lines
+UNION ALL SELECT tx_hash, log_index, 3, '0x' || md5(l_linestatus) FROM lines WHERE l_linestatus = 'O'""")
+def q_topic_positions(spark, sf):
+    logs = chain(spark, sf).gold("event_logs").select("tx_hash", "event_index", "topics")
+    t = posexplode_json(logs, "topics", "$", keep=["tx_hash", "event_index"])
+    return t.select("tx_hash", F.col("event_index").cast("bigint"), F.col(t.columns[-2]).cast("bigint").alias("position"),
+                    LF.jget(t.columns[-1], "$").alias("topic"))
+
+
+@query("heal_prices", """
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders""")
+def q_heal_prices(spark, sf):
+    """Rows whose price was missing, refilled and put in place of the incomplete ones; new rows beside them."""
+    o = T(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    target = o.where("o_orderkey % 4 <> 0").withColumn("o_totalprice", F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")))
+    healed = INC.heal(target, F.col("o_totalprice").isNull(), lambda rows: lookup(
+        rows.drop("o_totalprice"), o, ["o_orderkey"], ["o_totalprice"]))
+    new = o.where("o_orderkey % 4 = 0").union(target.where("o_totalprice is null"))
+    batch = INC.union_new_and_healed(new, healed.select(*o.columns), ["o_orderkey"], ["o_totalprice desc nulls last"])
+    return SK.upsert(target, batch, "o_orderkey")
+
+
+@query("stream_dedupe", """
+SELECT event_id, user_id, ts FROM events""")
+def q_stream_dedupe(spark, sf):
+    """Events delivered twice, kept once (watermark and state)."""
+    from ..streaming import dedupe_stream, read_stream, work_dir
+    base = work_dir(spark, "stream_dedupe")
+    ev = T(spark, sf, "events").select("event_id", "user_id", "ts")
+    ev = ev.withColumn("at", F.col("ts").cast("timestamp"))
+    ev.union(ev.where("event_id % 3 = 0")).write.parquet(f"{base}/in")
+    s = dedupe_stream(read_stream(spark, f"{base}/in", ev.schema), ["event_id"], "at")
+    q = (s.writeStream.format("parquet").option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/out")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(ev.schema).parquet(f"{base}/out").select("event_id", "user_id", "ts")
+
+
 # ------------------------------------------------------------- streaming
 def _event_files(spark, sf, base: str) -> tuple[str, list]:
     """Two deliveries of the events: before and from SPLIT_TS, the second with the first's purchases again."""

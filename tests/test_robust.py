@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import as_variant, jget, lit_ts
 from ledgerlake.functions.jsontext import call_tree, members
 from ledgerlake.functions.keys import path_partition_key
-from ledgerlake.operators import apply_upsert, flatten_tree, latest_per_key, sequence_gaps, upsert
+from ledgerlake.operators import (add_buckets, apply_upsert, chain_head, explode_array, flatten_tree, latest_per_key, run_if_any,
+                                  sequence_gaps, upsert)
 from ledgerlake.operators.numbering import number_within
 from ledgerlake.plans import gold, ingest, silver
+from ledgerlake.plans.run import run_model
 from ledgerlake.session import ensure_checkpoint_dir
-from ledgerlake.sources.raw import read_raw, unreadable
+from ledgerlake.sources.raw import join_manifest, read_raw, unreadable
+from ledgerlake.sources.seed import Catalog, read_seed
 from ledgerlake.streaming import counters_stream, read_stream, upsert_stream, work_dir
 
 RUN = dt.datetime(2024, 1, 1)
@@ -186,3 +189,43 @@ def test_ledgers_and_backlogs(spark):
     assert [(r.block_number, r.tx_hash) for r in got] == [(2, "a")]
     assert ingest.block_requests(spine, 4).count() == 3
     assert ensure_checkpoint_dir(spark)
+
+
+def test_manifest_seed_and_catalog(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    for n in (1, 2):
+        (tmp_path / "raw" / f"{n}000_1.json").write_text('{"value":{"BLOCK_NUMBER":%d},"data":{"result":{}}}\n' % n)
+    raw = read_raw(spark, str(tmp_path / "raw"), "blocks")
+    reg = raw.where("partition_key = 2000").select("file_name", "partition_key", lit_ts(RUN).alias("_inserted_timestamp"))
+    assert [(r.block_number, r._inserted_timestamp) for r in join_manifest(raw, reg).collect()] == [(2, RUN)]
+    recent = read_raw(spark, str(tmp_path / "raw"), "blocks", since=dt.timedelta(days=1))
+    assert recent.count() == 2 and read_raw(spark, str(tmp_path / "raw"), "blocks", since=dt.timedelta(days=1),
+                                            now=dt.datetime(2100, 1, 1)).count() == 0
+    (tmp_path / "s.csv").write_text("workflow_name,workflow_schedule\na,1 * *\nb,\n")
+    assert [tuple(r) for r in read_seed(spark, str(tmp_path / "s.csv")).collect()] == [("a", "1 * *"), ("b", None)]
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    c = Catalog(spark)
+    c.register("three", str(tmp_path / "t"))
+    assert c.table("three").count() == 3 == spark.sql("select * from three").count()
+
+
+def test_rebuild_guard_and_full_refresh(spark):
+    path = work_dir(spark, "m")
+    rows = spark.createDataFrame([(1, 10, "a"), (2, 5010, "b")], "id int, block_number int, v string")
+    run_model(spark, path, lambda t: rows, "id", "bucket", bucket_of="block_number")
+    with pytest.raises(PermissionError):
+        run_model(spark, path, lambda t: rows, "id", "bucket", bucket_of="block_number", full_refresh=True, may_rebuild=False)
+    seen = []
+    out = run_model(spark, path, lambda t: seen.append(t) or rows.where("id = 1"), "id", "bucket", bucket_of="block_number",
+                    full_refresh=True)
+    assert seen == [None] and [r.id for r in out.collect()] == [1]
+    out = run_model(spark, path, lambda t: rows.withColumn("v", F.lit("c")), "id", "bucket", bucket_of="block_number")
+    assert sorted((r.id, r.v, r.bucket) for r in out.collect()) == [(1, "c", 0), (2, "c", 5000)]
+
+
+def test_small_helpers(spark):
+    assert chain_head(spark.createDataFrame([("0x10",), ("0xff",)], "result string")) == 255
+    assert run_if_any(spark.range(0), lambda d: 1) is None and run_if_any(spark.range(1), lambda d: 1) == 1
+    a = explode_array(spark.createDataFrame([(1, [3, 4])], "k int, a array<int>"), "a", ["k"])
+    assert sorted(r[-1] for r in a.collect()) == [3, 4]
+    assert add_buckets(spark.createDataFrame([(1499,)], "block_number int")).first().partition_key == 1000
