@@ -18,7 +18,7 @@ from ledgerlake.queries.registry import QUERIES  # noqa: E402
 from ledgerlake.session import local_session  # noqa: E402
 
 HEADLINE = ["call_tree_fact", "tx_fact", "log_fact", "block_fact", "tree_flatten", "latest_ranked",
-            "heal_late", "explode_lines", "amounts", "check_gaps", "backlog_keys", "top_unread", "merge_keep"]
+            "heal_late", "heal_logs", "explode_lines", "amounts", "check_gaps", "backlog_keys", "top_unread", "merge_keep"]
 
 
 def run_once(spark, name: str, sf: str) -> float:
