@@ -122,7 +122,6 @@ def dual_search(queries: np.ndarray, floor: np.ndarray, data: np.ndarray, first_
         own, worst = queries[rows], floor[rows].astype(np.float64).copy()
         cand: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
-        scores = np.empty((len(rows), 0), np.int64)
         stack = [(bound(q, root), root)]
         while stack:
             reach, d = stack.pop()
@@ -134,14 +133,11 @@ def dual_search(queries: np.ndarray, floor: np.ndarray, data: np.ndarray, first_
             cand.append((d.rows, products(own, data[d.rows])))
             held += len(d.rows)
             if held >= max(k, 512) or not stack:
-                scores, cand, worst = _best(scores, cand, first_id, worst, k)
+                cand, worst = _best(cand, first_id, worst, k)
                 held = 0
         if cand:
-            scores, cand, worst = _best(scores, cand, first_id, worst, k)
-        if cand:
-            which = cand[0][0]
-            score = cand[0][1]
-            r, c = np.nonzero((which >= 0) & (score >= floor[rows][:, None]))
+            (which, score), = _best(cand, first_id, worst, k)[0]
+            r, c = np.nonzero(score >= floor[rows][:, None])
             found.append((rows[r], which[r, c], score[r, c]))
     if not found:
         return tuple(np.empty(0, np.int64) for _ in range(3))
@@ -151,22 +147,21 @@ def dual_search(queries: np.ndarray, floor: np.ndarray, data: np.ndarray, first_
 _NONE = np.iinfo(np.int64).min
 
 
-def _best(_, cand, first_id, worst, k):
-    """Merge candidate lists into the k best per query: (data rows, scores) with -1 where there are fewer."""
+def _best(cand: list, first_id: np.ndarray, worst: np.ndarray, k: int):
+    """Merge candidate lists into the k best per query, and raise the queries' k-th scores."""
     n = len(worst)
     which = np.concatenate([np.broadcast_to(w, (n, w.shape[-1])) for w, _ in cand], axis=1)
     score = np.concatenate([s for _, s in cand], axis=1)
     if which.shape[1] > k:
-        # everything above the k-th score, and of those equal to it the smallest ids
-        order = np.lexsort((np.where(which >= 0, first_id[which], 0), -score.astype(np.float64)), axis=1)[:, :k]
-        exact = score.astype(np.float64).astype(np.int64) == score
-        if not exact.all():
+        if np.abs(score.astype(np.float64)).max() < 2.0 ** 53:
+            order = np.lexsort((first_id[which], -score), axis=1)[:, :k]
+        else:  # negation could overflow
             order = np.stack([sorted(range(len(s)), key=lambda j: (-int(s[j]), int(first_id[w[j]])))[:k]
                               for s, w in zip(score, which)])
         which, score = np.take_along_axis(which, order, 1), np.take_along_axis(score, order, 1)
     if which.shape[1] >= k:
         worst = np.maximum(worst, score.min(1))
-    return score, [(which, score)], worst
+    return [(which, score)], worst
 
 
 # ---- the upper level and the Spark plan ----------------------------------------
