@@ -16,17 +16,13 @@ _LIMB = 10 ** 9                # decimal limb base
 _N_LIMBS = 9                   # 81 decimal digits >= 2^256 - 1 (78 digits)
 MAX_HEX_DIGITS = 64            # widest accepted value: 256 bits
 _FAST_HEX_DIGITS = 15          # conv() is exact up to 60 bits
+_MID_HEX_DIGITS = 31           # two conv() results fit DECIMAL(38)
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _hex_body(h: Column) -> Column:
-    """Lower-case digits without the 0x prefix."""
-    return F.lower(F.regexp_replace(h, r"^0[xX]", ""))
-
-
 def _wide_hex_to_dec(body: Column, n: Column) -> Column:
     """Fold 28-bit chunks into base-10^9 limbs (little endian), all in BIGINT."""
     n_chunks = F.ceil(n / F.lit(_CHUNK_HEX)).cast("int")
@@ -55,18 +51,27 @@ def _wide_hex_to_dec(body: Column, n: Column) -> Column:
     return F.regexp_replace(digits, r"^0+(?=[0-9])", "")
 
 
+def _mid_hex_to_dec(sig: Column, n: Column) -> Column:
+    """16 to 31 digits: two conv() halves put together in DECIMAL(38,0) (below 2^124)."""
+    high = F.conv(F.substr(sig, F.lit(1), n - _FAST_HEX_DIGITS), 16, 10).cast("decimal(20,0)")
+    low = F.conv(F.substr(sig, n - (_FAST_HEX_DIGITS - 1)), 16, 10).cast("decimal(20,0)")
+    scale = F.lit(str(1 << 4 * _FAST_HEX_DIGITS)).cast("decimal(19,0)")
+    return ((high * scale).cast("decimal(38,0)") + low).cast("decimal(38,0)").cast("string")
+
+
 def hex_to_int(h) -> Column:
     """`0x`-hex (any case, up to 256 bits) to its decimal string; NULL on NULL,
     empty, invalid or wider input."""
     h = _c(h)
-    body = _hex_body(h)
-    sig = F.regexp_replace(body, r"^0+", "")
+    # each sub-expression refers to its input once: copies would multiply when calls nest
+    sig = F.lower(F.ltrim(h, F.lit("0xX")))
     n = F.length(sig)
-    valid = body.rlike(r"^[0-9a-f]+$")
+    valid = h.rlike(r"^(0[xX])?[0-9a-fA-F]+$")
     fast = F.conv(F.when(n == 0, F.lit("0")).otherwise(sig), 16, 10)
     return (
         F.when(h.isNull() | ~valid | (n > MAX_HEX_DIGITS), F.lit(None).cast("string"))
         .when(n <= _FAST_HEX_DIGITS, fast)
+        .when(n <= _MID_HEX_DIGITS, _mid_hex_to_dec(sig, n))
         # the wide branch runs inside one lambda: its variable is referenced, not
         # re-inlined, which keeps generated code far below the 64 KB method limit
         .otherwise(F.get(F.transform(F.array(sig), lambda s: _wide_hex_to_dec(s, F.length(s))), 0))
