@@ -2,8 +2,8 @@
 
 Rows are shuffled by key and sorted; a task reads the runs of equal keys in a stream.
 Runs of at most LIMIT rows are compared at once. A longer run is cut into blocks of
-half that size as it streams by; its rows go on, and a second pass compares every pair
-of blocks in a task of its own. So no row is dropped, and no task holds more than
+half that size as it streams by; its rows go on, and a second pass compares every block
+with itself and every pair of blocks, each in a group of its own. So no row is dropped, and no task holds more than
 LIMIT rows of a run.
 """
 from __future__ import annotations
@@ -104,7 +104,8 @@ def compare_runs(df: DataFrame, keys: list[str], compare: Compare, n_parts: int)
 
     compare(columns, starts) gets whole runs one after another (`starts`: where each
     begins) and returns two integer arrays. It must find a pair whenever both rows are
-    in the run, whichever other rows are there; results may repeat.
+    in the run, whichever other rows are there; results may repeat. When columns have
+    `_side`, pairs of rows on one side are met elsewhere if the run has both sides.
     """
     types = {"bigint": pa.int64(), "int": pa.int32(), "tinyint": pa.int8(), "binary": pa.binary()}
     spark_type = dict(df.dtypes)
@@ -121,7 +122,8 @@ def compare_runs(df: DataFrame, keys: list[str], compare: Compare, n_parts: int)
         return found
     rows = first.where(F.col("_kind") == _ROW).select(*spark_type, "_block")
     pairs = (rows.join(sizes, keys).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-             .select(*spark_type, F.least("_block", "_j").alias("_lo"), F.greatest("_block", "_j").alias("_hi")))
+             .select(*spark_type, F.least("_block", "_j").alias("_lo"), F.greatest("_block", "_j").alias("_hi"),
+                     (F.col("_block") > F.col("_j")).cast("tinyint").alias("_side")))
     both = [*keys, "_lo", "_hi"]
     schema2 = pa.schema([("_kind", pa.int8()), *((c, types[t]) for c, t in pairs.dtypes), ("_block", pa.int32()),
                          ("_a", pa.int64()), ("_b", pa.int64())])
@@ -131,6 +133,12 @@ def compare_runs(df: DataFrame, keys: list[str], compare: Compare, n_parts: int)
     return found.union(second.where(F.col("_kind") == _RESULT).select("_a", "_b"))
 
 
+def other_side(cols: dict, s: int, e: int) -> np.ndarray | None:
+    """The sides of a run's rows when only pairs across them need comparing, else None."""
+    side = cols["_side"][s:e] if "_side" in cols else None
+    return side if side is not None and side.any() else None
+
+
 def spanning_edges(linked: np.ndarray) -> list[tuple[int, int]]:
     """Edges of a spanning forest of a symmetric boolean matrix."""
     n = len(linked)

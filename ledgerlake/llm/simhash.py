@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import partitions, stored, whole_row
 from .components import connected_components
-from .runs import compare_runs, spanning_edges
+from .runs import compare_runs, other_side, spanning_edges
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -132,6 +132,9 @@ def _linked(max_bits: int):
             for at in np.array_split(np.flatnonzero(h), max(1, int(h.sum()) // 256)):
                 near[at] = np.bitwise_count(x[at][:, None] ^ x[None, :]) <= max_bits
             near |= near.T
+            side = other_side(cols, s, e)
+            if side is not None:
+                near &= side[:, None] != side[None, :]
             for i, j in spanning_edges(near):
                 a.append(x[i])
                 b.append(x[j])
