@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 K = 64
 SHINGLE_WORDS = 5
-CACHE_WORDS = 300_000
+CACHE_WORDS = 50_000
 _MASK = (1 << 64) - 1
 # odd multipliers, one per word of a shingle, from a rule
 _MULT = np.array([(0x9E3779B97F4A7C15 * (2 * j + 1) + 0x1F123BB5 * 2 * j) & _MASK | 1 for j in range(64)],

@@ -35,7 +35,7 @@ CAPACITY = 2048
 END_ID = 0
 MAX_NODES = 4_000
 MAX_FILLINGS = 8  # tried per node, least waste first
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 
 # ---- tokens ----------------------------------------------------------------
@@ -67,9 +67,7 @@ class TokenIds:
     """
 
     def __init__(self, path: str):
-        import tiktoken
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self.tokenizer = path, None  # the library is loaded when a text needs it
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, self.words = spec["model"], None
@@ -92,12 +90,16 @@ class TokenIds:
             if bytes([b]) not in ranks:
                 ranks[bytes([b])] = free
                 free += 1
+        import tiktoken
         bpe = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         merge = bpe._core_bpe.encode_single_piece
         self.words = _Ids(lambda w: array("I", merge(w.encode() + b"\xff")).tobytes())
 
     def __call__(self, text: str) -> bytes:
         if self.words is None or _OTHER.search(text):
+            if self.tokenizer is None:
+                from tokenizers import Tokenizer
+                self.tokenizer = Tokenizer.from_file(self.path)
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.words.__getitem__, _SPLIT.findall(text.lower())))
 

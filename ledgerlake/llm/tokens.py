@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 
 def read_vocabulary(path: str) -> list[bytes]:
