@@ -1,10 +1,11 @@
 """Comparing the rows that share a key, without ever holding an unbounded group.
 
 Rows are shuffled by key and sorted; a task reads the runs of equal keys in a stream.
-Runs of at most LIMIT rows are compared at once. A longer run is cut into blocks of
-half that size as it streams by; its rows go on, and a second pass compares every block
-with itself and every pair of blocks, each in a group of its own. So no row is dropped, and no task holds more than
-LIMIT rows of a run.
+Runs of at most LIMIT rows are compared at once. A longer run is cut into blocks of at
+most half that size as it streams by, the last rows of a run included; its rows go on, and
+a second pass compares every block with itself and every pair of blocks, each in a group
+of its own, which LIMIT rows bound. So no row is dropped, no pair is lost, and no task
+compares more than LIMIT rows of a run at once; a longer group in the second pass is an error.
 """
 from __future__ import annotations
 
@@ -39,16 +40,27 @@ def _starts(t: pa.Table, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _pass(keys: list[str], text: set[str], schema: pa.Schema, compare: Compare, limit: int):
+def _pass(keys: list[str], text: set[str], schema: pa.Schema, compare: Compare, limit: int, last: bool = False):
+    """The function of one pass; the `last` one compares every run and fails on a long one."""
+    size_of = BLOCK
+
     def out(kind: int, n: int, **cols) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(n, kind, np.int8)) if f.name == "_kind" else cols[f.name] if f.name in cols
              else pa.nulls(n, f.type) for f in schema], schema=schema)
 
-    def flush(t: pa.Table, block: int) -> pa.RecordBatch:
+    def flush(t: pa.Table, block: int) -> Iterator[pa.RecordBatch]:
+        """Rows of a long run, in blocks numbered from `block` on."""
+        if last:
+            raise ValueError(f"a group of two blocks has over {limit} rows")
         t = t.combine_chunks()
-        cols = {c: (x.chunk(0) if x.num_chunks else pa.nulls(0, x.type)) for c, x in zip(t.column_names, t.columns)}
-        return out(_ROW, t.num_rows, _block=pa.array(np.full(t.num_rows, block, np.int32)), **cols)
+        for s in range(0, t.num_rows, size_of):
+            x = t.slice(s, size_of)
+            cols = {c: x.column(c).chunk(0) for c in x.column_names}
+            yield out(_ROW, x.num_rows, _block=pa.array(np.full(x.num_rows, block + s // size_of, np.int32)), **cols)
+
+    def blocks_of(n: int) -> int:
+        return -(-n // size_of)
 
     def size(t: pa.Table, blocks: int) -> pa.RecordBatch:
         return out(_SIZE, 1, _block=pa.array([blocks], pa.int32()),
@@ -71,29 +83,27 @@ def _pass(keys: list[str], text: set[str], schema: pa.Schema, compare: Compare,
             bounds = np.append(starts, t.num_rows)
             first = 0
             if blocks and len(starts) > 1:  # the long run has ended
-                yield flush(t.slice(0, bounds[1]), blocks)
-                yield size(t, blocks + 1)
+                yield from flush(t.slice(0, bounds[1]), blocks)
+                yield size(t, blocks + blocks_of(bounds[1]))
                 first, blocks = 1, 0
             at = bounds[first]
             if not blocks:
                 for i in np.flatnonzero(np.diff(bounds[first:-1]) > limit) + first:
                     yield from compared(t.slice(at, bounds[i] - at))
-                    n = 0
-                    for s in range(bounds[i], bounds[i + 1], BLOCK):
-                        yield flush(t.slice(s, min(BLOCK, bounds[i + 1] - s)), n)
-                        n += 1
-                    yield size(t.slice(bounds[i], 1), n)
+                    n = bounds[i + 1] - bounds[i]
+                    yield from flush(t.slice(bounds[i], n), 0)
+                    yield size(t.slice(bounds[i], 1), blocks_of(n))
                     at = bounds[i + 1]
                 yield from compared(t.slice(at, bounds[-2] - at))
                 at = bounds[-2]
             while t.num_rows - at > limit:  # the open run is already long
-                yield flush(t.slice(at, BLOCK), blocks)
-                blocks, at = blocks + 1, at + BLOCK
+                yield from flush(t.slice(at, size_of), blocks)
+                blocks, at = blocks + 1, at + size_of
             held = t.slice(at)
         if held is not None and held.num_rows:
             if blocks:
-                yield flush(held, blocks)
-                yield size(held, blocks + 1)
+                yield from flush(held, blocks)
+                yield size(held, blocks + blocks_of(held.num_rows))
             else:
                 yield from compared(held)
     return run
@@ -129,7 +139,7 @@ def compare_runs(df: DataFrame, keys: list[str], compare: Compare, n_parts: int)
                          ("_a", pa.int64()), ("_b", pa.int64())])
     ddl2 = ", ".join(["_kind tinyint", *(f"`{c}` {t}" for c, t in pairs.dtypes), "_block int", "_a bigint", "_b bigint"])
     second = (pairs.repartition(n_parts, *both).sortWithinPartitions(*both)
-              .mapInArrow(_pass(both, text, schema2, compare, LIMIT), ddl2))
+              .mapInArrow(_pass(both, text, schema2, compare, LIMIT, last=True), ddl2))
     return found.union(second.where(F.col("_kind") == _RESULT).select("_a", "_b"))
 
 

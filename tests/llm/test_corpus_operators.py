@@ -362,6 +362,38 @@ def test_warc_small_payloads_and_blocks(spark, tmp_path):
     assert all(r.request.record_type == "request" and len(r.metadata) == 1 and r.capture.block.startswith(b"HTTP/1.1 200") for r in nested)
 
 
+# ---- runs of equal keys ---------------------------------------------------------------
+
+def test_compare_runs_meets_every_pair(spark, monkeypatch):
+    other_side = runs.other_side
+
+    def all_pairs(cols, starts):
+        """Every pair of a run that is not all on one side."""
+        a, b = [], []
+        for s, e in zip(starts, np.append(starts[1:], len(cols["id"]))):
+            i, j = np.triu_indices(e - s, 1)
+            side = other_side(cols, s, e)
+            use = np.ones(len(i), bool) if side is None else side[i] != side[j]
+            a.append(cols["id"][s:e][i[use]])
+            b.append(cols["id"][s:e][j[use]])
+        return np.concatenate(a), np.concatenate(b)
+
+    monkeypatch.setattr(runs, "LIMIT", 8)
+    monkeypatch.setattr(runs, "BLOCK", 4)
+    # runs that end within a batch, span batches, and end their partition; one partition and several
+    lengths = [1, 3, 8, 9, 11, 12, 13, 25, 2, 40, 16, 17, 5, 23, 10]
+    keys = [k for k, n in enumerate(lengths) for _ in range(n)]
+    want = {(i, j) for j in range(len(keys)) for i in range(j) if keys[i] == keys[j]}
+    df = spark.createDataFrame(list(zip(keys, range(len(keys)))), "key bigint, id bigint")
+    for batch, parts in ((7, 1), (10, 1), (30, 3)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            got = runs.compare_runs(df, ["key"], all_pairs, parts).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert {(min(r), max(r)) for r in got} == want
+
+
 # ---- 8 lines ---------------------------------------------------------------------------
 
 def edit_table(a, b):
