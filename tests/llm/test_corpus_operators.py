@@ -447,6 +447,31 @@ def test_line_dedup(spark, docs, rows, monkeypatch):
         assert got == {i: t for (i, _), t in want.items()}
 
 
+def test_line_dedup_finds_changed_words(spark):
+    r = random.Random(16)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.choice((2, 3, 3, 4, 5, 6, 7, 8, 9, 10))))
+    common = ["the", "of", "and", "to", "in"]
+    texts, want = [], []
+    for n, changed in ((8, 1), (12, 1), (20, 1), (20, 2), (40, 2), (100, 5), (200, 4)):
+        for _ in range(60):
+            a = [r.choice(common) if r.random() < 0.4 else word() for _ in range(n)]
+            b = list(a)
+            for i in r.sample([i for i, w in enumerate(a) if w not in common], changed):
+                b[i] = word()
+            pair = [" ".join(x).encode() for x in (a, b)]
+            if min(map(len, pair)) >= lines.MIN_CHARS and lines.similar(*pair):  # what an all-pairs check finds
+                want.append((n, changed, len(texts) + 1))
+                texts += [x.decode() for x in pair]
+    han = [chr(0x4E00 + r.randrange(3000)) for _ in range(40)]
+    texts += ["".join(han), "".join(han[:20] + ["山"] + han[21:])]
+    got = {x["_row"].doc_id: x.n_dropped for x in lines.with_dropped(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert got[len(texts) - 1] == 1 and sum(got.values()) <= len(want) + 1
+    for n, changed in {x[:2] for x in want}:
+        found = [got[i] for a, b, i in want if (a, b) == (n, changed)]
+        assert sum(found) >= 0.75 * len(found), (n, changed, sum(found), len(found))
+
+
 def test_line_dedup_odd_rows(spark, odd):
     out = lines.dedup_lines(odd)
     assert out.columns == odd.columns and out.count() == len(ODD)
