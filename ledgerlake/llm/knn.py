@@ -38,6 +38,11 @@ QUERY_CHUNK = 4096
 LEAF = 128
 
 
+def with_slack(reach):
+    """A bound raised by more than its rounding, whatever its sign."""
+    return reach + 1e-9 * abs(reach) + 1e-6
+
+
 def integer_vectors(vec: Column, scale: int = SCALE) -> Column:
     """array<bigint> of floor(scale * x); null unless every component is finite."""
     fine = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
@@ -125,7 +130,7 @@ def dual_search(queries: np.ndarray, floor: np.ndarray, data: np.ndarray, first_
         stack = [(bound(q, root), root)]
         while stack:
             reach, d = stack.pop()
-            if reach * (1 + 1e-9) + 1e-6 < worst.min():
+            if with_slack(reach) < worst.min():
                 continue
             if d.children:
                 stack += sorted(((bound(q, c), c) for c in d.children), key=lambda e: e[0])
@@ -206,7 +211,7 @@ def _copies(alive: np.ndarray, centres: np.ndarray, radius: np.ndarray, blocks:
                 keep = np.arange(len(centres))[None, :] == node[:, None]
             else:
                 reach = x @ centres.T + np.sqrt((x ** 2).sum(1))[:, None] * radius[None, :]
-                keep = alive[node] & (reach * (1 + 1e-9) + 1e-6 >= floor[:, None])
+                keep = alive[node] & (with_slack(reach) >= floor[:, None])
                 keep[np.arange(len(node)), node] = False
             r, c = np.nonzero(keep)
             times = np.array(blocks, np.int64)[c]
@@ -297,7 +302,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     reach = (centres @ centres.T + norm[:, None] * radius[None, :] + norm[None, :] * q_radius[:, None]
              + q_radius[:, None] * radius[None, :])
     floor = np.array([float(worst.get(i, 0)) for i in nodes])
-    alive = reach * (1 + 1e-9) + 1e-6 >= floor[:, None]
+    alive = with_slack(reach) >= floor[:, None]
     far = searched(queries, alive, False)
     best = stored(_limited(near.select("q", "vec_id", "score").union(far), k + 1))
     asked = rows.where("asks").select(F.col("id").alias("query_id"), "vec").distinct()

@@ -184,6 +184,15 @@ def test_top_k_is_exact(spark, spread, monkeypatch):
     assert got == brute_top(data, lambda i: i % 20 == 0, 7)
 
 
+def test_top_k_keeps_ties_of_very_negative_scores():
+    # one-point nodes whose bounds equal the worst score: the tie with the smaller id is not pruned
+    for score in (-900.0, -5000.0, -1e9):
+        assert knn.with_slack(score) > score and not knn.with_slack(score) < np.float64(score)
+    data = np.array([[-100.0], [-100.0], [-100.0]])
+    reach = knn.with_slack(np.array([[100.0]]) @ data.T)
+    assert (reach >= -10000.0).all()
+
+
 def test_top_k_odd_rows(spark):
     data = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [1.0]),
             (None, [1.0, 1.0]), (20, [1e12, -1e12]), (5, [float("inf"), 0.0]), (6, [])]
