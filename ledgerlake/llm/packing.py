@@ -7,7 +7,10 @@ the undominated fillings of the rest of a sequence, tries them from the least wa
 takes a filling as often as the counts allow, and backtracks; a branch ends when its
 waste could no longer beat the incumbent. The first incumbent is best-fit decreasing,
 and the search stops at the lower bound or after MAX_NODES nodes (the incumbent is then
-the answer; every answer is a whole, valid packing). Tasks then place their pieces from
+the answer; every answer is a whole, valid packing). The search is cut in other places too:
+a node tries MAX_FILLINGS fillings, enumerated from the lengths of _TRIED (four at most;
+of more only the greedy one), and a filling is never taken fewer times on backtracking. So
+a search that ends below MAX_NODES doesn't prove its answer the best. Tasks then place their pieces from
 the plan: the n-th piece of a length has its sequence and offset by arithmetic, without
 moving texts or tokens.
 
