@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, contamination, fingerprints, knn, lines, mixing, packing, pii, simhash, tokens, warc
+from . import classifier, contamination, fingerprints, knn, lines, mixing, negatives, packing, pii, repair, simhash, tokens, warc
 from .common import table, word_count
 
 # vocabulary files of public tokenizers: only their path is used
@@ -172,3 +172,57 @@ FROM d LEFT JOIN hits USING (rid) LEFT JOIN named USING (rid)
 """
 QUERIES |= {"op13_decontamination": op13_decontamination}
 ORACLES |= {"op13_decontamination": OP13_SQL}
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 100th vector; every 7th row's label is moved on by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+OP12_SQL = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256.0::DOUBLE * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, list_dot_product(a.e::DOUBLE[], v.e::DOUBLE[])::BIGINT AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+         vec_id AS negative_id, positive_score, score AS negative_score
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+QUERIES |= {"op12_hard_negatives": op12_hard_negatives}
+ORACLES |= {"op12_hard_negatives": OP12_SQL}
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user, as the hash of conversation and turn says."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    k, text = F.col("k"), F.coalesce("text", F.lit(" "))
+    return (conversations.select("conv_id", "turn", "role", "text", (F.crc32(key.cast("binary")) % 20).alias("k")).where(k != 0)
+            .select("conv_id", "turn", F.when(k == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+                    F.when(k == 1, "").when(k == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+                    F.explode(F.when(k == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy"))
+            .drop("_copy"))
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations")
+    report, _ = repair.repair(damaged(rows))
+    every = rows.groupBy("conv_id").agg(F.lit("").alias("audit"))  # also those that lost all rows
+    whole = report.unionByName(every, allowMissingColumns=True).groupBy("conv_id").agg(
+        *[F.coalesce(F.max(c), F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.max("audit").alias("audit"), F.coalesce(F.max("repaired_sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+    return whole
+
+
+QUERIES |= {"op11_conversation_repair": op11_conversation_repair}
