@@ -10,6 +10,7 @@ from .latest import latest_per_key, parse_order, sort_columns, top_per_key
 from .numbering import global_position, number_within, with_lag
 from .setops import (anti, full_outer_norm, in_list, not_in, reemit_groups, run_if_any, spine_join, union_all,
                      union_distinct, with_constants)
-from .sinks import add_buckets, apply_upsert, key_bounds, upsert, write_table
+from .sinks import add_buckets, key_bounds, upsert, write_table
+from .stored import compact_table, read_table, replace_table, upsert_table, vacuum_table
 from .tree import (address_text, ancestor_flag, child_counts, flatten_tree, has_error, parent_text,
                    preorder_index, strip_field)

@@ -1,4 +1,4 @@
-"""Keyed sinks (W1-W8) as pure DataFrame functions, plus a thin persistence shell.
+"""Keyed sinks (W1-W4) as pure DataFrame functions; `stored.py` keeps their results as tables.
 
 `upsert(target, batch, key, mode)` returns the new table content:
 
@@ -8,9 +8,6 @@
                 the target's value on a match (inserted_timestamp survives);
 * prune_on    : restrict the target side to the batch's [min, max] of a column
                 first (one tiny aggregate) so file and partition pruning apply.
-
-Persistence (`write_table`) overwrites only the buckets the batch touches
-(dynamic partition overwrite), so a run rewrites O(batch), not O(table).
 """
 from __future__ import annotations
 
@@ -18,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hexnum import bucket1000
-from ..session import ensure_checkpoint_dir, path_exists
 from .joins import join_keys
 from .latest import latest_per_key
 
@@ -34,15 +30,16 @@ def key_bounds(batch: DataFrame, col: str):
 
 
 def upsert(target: DataFrame | None, batch: DataFrame, key, mode: str = "replace_key",
-           keep_existing: list[str] | None = None, prune_on: str | None = None, order=None) -> DataFrame:
+           keep_existing: list[str] | None = None, prune_on: str | None = None, order=None, checked: bool = False) -> DataFrame:
     """New content of `target` after applying `batch` by `key` (see module doc).
 
-    A batch that repeats a key is refused, unless `order` says which of its rows counts.
+    A batch that repeats a key is refused, unless `order` says which of its rows counts;
+    `checked` says that the caller has seen to that.
     """
     keys = _keys(key)
     if order is not None:
         batch = latest_per_key(batch, keys, order)
-    elif not batch.groupBy(*keys).count().where("count > 1").isEmpty():
+    elif not checked and not batch.groupBy(*keys).count().where("count > 1").isEmpty():
         raise ValueError(f"the batch repeats a key of {keys}: name the order that picks one row")
     if target is None:
         return batch
@@ -85,41 +82,3 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-
-
-def apply_upsert(spark, path: str, batch: DataFrame, key, partition_col: str, mode: str = "replace_key",
-                 keep_existing: list[str] | None = None, order=None, competing: bool = False) -> DataFrame:
-    """Persisted upsert on a partitioned Parquet table without a table format; returns the table.
-
-    Stored rows are found by key, whatever partition they lie in, so a key may move. Only
-    the partitions of the batch and of those rows are read and overwritten; the new content
-    is staged with a reliable checkpoint first (read and written files are the same). Running
-    a batch again gives the same table. `competing`: stored rows of the batch's keys stand
-    for election under `order` instead of being replaced.
-    """
-    ensure_checkpoint_dir(spark)
-    keys = _keys(key)
-    if not path_exists(spark, path):
-        write_table(upsert(None, batch, keys, mode, order=order), path, [partition_col])
-        return spark.read.parquet(path)
-    batch = batch.checkpoint()
-    schema = batch.schema
-    stored = spark.read.schema(schema).parquet(path)
-    moved = join_keys(stored, batch.select(*keys).distinct(), keys, "left_semi", null_safe=True)
-    touched = (batch.select(partition_col).union(moved.select(partition_col)).distinct()).checkpoint()
-    target = join_keys(stored, touched, [partition_col], "left_semi", null_safe=True)
-    if competing:
-        batch = batch.unionByName(moved)
-    new = upsert(target, batch, keys, mode, keep_existing, order=order).checkpoint()
-    # a partition that lost its last row is not overwritten by a dynamic overwrite: empty it
-    gone = join_keys(touched, new.select(partition_col).distinct(), [partition_col], "left_anti", null_safe=True)
-    write_table(new, path, [partition_col])
-    for row in gone.toLocalIterator():
-        drop_partition(spark, path, partition_col, row[0])
-    return spark.read.schema(schema).parquet(path)
-
-
-def drop_partition(spark, path: str, col: str, value) -> None:
-    name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{col}={name}")
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

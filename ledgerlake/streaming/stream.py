@@ -13,8 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sinks import apply_upsert
-from ..session import ensure_checkpoint_dir, path_exists
+from ..operators.stored import read_table, upsert_table
+from ..session import ensure_checkpoint_dir
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -65,7 +65,7 @@ def upsert_stream(stream: DataFrame, table_path: str, keys: list[str], order, ch
 
     def apply(batch: DataFrame, batch_id: int):
         if not batch.isEmpty():
-            apply_upsert(spark, table_path, _bucketed(batch, keys, buckets), keys, "bucket", order=order, competing=True)
+            upsert_table(spark, table_path, _bucketed(batch, keys, buckets), keys, "bucket", order=order, competing=True)
     _run(stream, "append", apply, checkpoint, available_now)
     return _table(spark, table_path)
 
@@ -79,10 +79,11 @@ def counters_stream(stream: DataFrame, key: str, value_cols: dict[str, object],
 
     def apply(batch: DataFrame, batch_id: int):
         if not batch.isEmpty():
-            apply_upsert(spark, table_path, _bucketed(batch, [key], buckets), key, "bucket")
+            upsert_table(spark, table_path, _bucketed(batch, [key], buckets), key, "bucket")
     _run(agg, "update", apply, checkpoint, available_now)
     return _table(spark, table_path)
 
 
 def _table(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path).drop("bucket") if path_exists(spark, path) else None
+    table = read_table(spark, path)
+    return None if table is None else table.drop("bucket")

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import as_variant, jget, lit_ts
 from ledgerlake.functions.jsontext import call_tree, members
 from ledgerlake.functions.keys import path_partition_key
-from ledgerlake.operators import (add_buckets, apply_upsert, chain_head, explode_array, flatten_tree, latest_per_key, run_if_any,
-                                  sequence_gaps, upsert)
+from ledgerlake.operators import (add_buckets, chain_head, explode_array, flatten_tree, latest_per_key, run_if_any,
+                                  sequence_gaps, upsert, upsert_table)
 from ledgerlake.operators.numbering import number_within
 from ledgerlake.plans import gold, ingest, silver
 from ledgerlake.plans.run import run_model
@@ -96,12 +96,12 @@ def test_persisted_upsert_moves_keys_and_replays(spark):
     path = work_dir(spark, "t")
     a = spark.createDataFrame([(1, 1000, "a"), (2, 1000, "b"), (3, 2000, "c")], "id int, bucket int, v string")
     b = spark.createDataFrame([(3, 3000, "C"), (2, 2000, "B"), (4, None, "d")], "id int, bucket int, v string")
-    apply_upsert(spark, path, a, "id", "bucket")
+    upsert_table(spark, path, a, "id", "bucket")
     for _ in range(2):
-        out = apply_upsert(spark, path, b, "id", "bucket")
+        out = upsert_table(spark, path, b, "id", "bucket")
         assert sorted((r.id, r.bucket, r.v) for r in out.collect()) == [(1, 1000, "a"), (2, 2000, "B"), (3, 3000, "C"), (4, None, "d")]
     moved = spark.createDataFrame([(1, 2000, "A")], a.schema)
-    out = apply_upsert(spark, path, moved, "id", "bucket")
+    out = upsert_table(spark, path, moved, "id", "bucket")
     assert sorted((r.id, r.bucket) for r in out.collect()) == [(1, 2000), (2, 2000), (3, 3000), (4, None)]
 
 
