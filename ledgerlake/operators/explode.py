@@ -17,8 +17,9 @@ def explode_json(df: DataFrame, col: str, path: str = "$", keep: list[str] | Non
     """One row per element of the JSON array `col:path` -> (keep..., pos, value VARIANT)."""
     keep = [c for c in (keep if keep is not None else df.columns) if c not in (pos, value)]
     arr = jarray(col, path)
-    gen = F.posexplode_outer(arr) if outer else F.posexplode(arr)
-    return df.select(*keep, gen.alias(pos, value))
+    # outer in any case: for a plain one Spark infers a filter that reads the array a second time
+    out = df.select(*keep, F.posexplode_outer(arr).alias(pos, value))
+    return out if outer else out.where(F.col(pos).isNotNull())
 
 
 def posexplode_json(df: DataFrame, col: str, path: str = "$", keep: list[str] | None = None,

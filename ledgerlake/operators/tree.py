@@ -4,10 +4,11 @@ A trace document is a nested tree: each node has fields and an optional array
 of child nodes (`calls`). The reference flattens it with a recursive FLATTEN
 and rebuilds addresses with regexes; here:
 
-* `flatten_tree` walks each document once, as text, in one narrow pass (no shuffle, no
-  checkpoint, no depth limit). Depth-first positions, child counts and flags inherited
-  downwards (an error on the path fails a subtree) come out of the same walk, which
-  answers the ancestry question of the reference without any join.
+* `flatten_tree` opens each document in one narrow pass (no shuffle, no checkpoint, no depth
+  limit): VARIANT documents level by level with array functions, all in the JVM; text, which
+  may nest deeper than VARIANT does, by a walk in Python. Depth-first positions, child counts
+  and flags inherited downwards (an error on the path fails a subtree) come out of the same
+  pass, which answers the ancestry question of the reference without any join.
 * `preorder_index`, `child_counts` and `ancestor_flag` work on a *flat* node
   table (address arrays), as the gold model reads it from silver.
 
@@ -73,27 +74,77 @@ def _walk(n_keys: int, names: list[str], child_field: str, flags: tuple[str, ...
     return run
 
 
+LEVELS, MAX_LEVELS = 16, 1024  # levels opened of every document, and of those that are deeper (VARIANT nests up to 1,000)
+
+
+def _field(node: Column, name: str) -> Column:
+    return F.try_variant_get(node, f"$['{name}']", "variant")
+
+
+def _open(df: DataFrame, node_col: str, keys: list[str], child_field: str, inherit: dict[str, str], skip_field: str | None) -> DataFrame:
+    """keys, trace_address_array, sub_traces, trace_index, node and the inherited flags of VARIANT documents."""
+    def children(n: Column) -> Column:
+        return F.coalesce(F.try_variant_get(n, f"$['{child_field}']", "array<variant>"), F.array().cast("array<variant>"))
+
+    def skipped(n: Column) -> Column:
+        return _field(n, skip_field).isNotNull() if skip_field else F.lit(False)
+
+    def item(n: Column, address: Column, up: Column | None) -> Column:
+        flags = []
+        for name, field in inherit.items():
+            v = _field(n, field)
+            own = v.isNotNull() & ~F.coalesce(F.is_variant_null(v), F.lit(True)) & ~skipped(n)
+            flags.append((own if up is None else up[name] | own).alias(name))
+        return F.struct(address.alias("a"), n.alias("n"), skipped(n).alias("s"), *flags)
+
+    def step(acc: Column, _: Column) -> Column:
+        below = F.flatten(F.transform(acc["last"], lambda x: F.transform(
+            children(x["n"]), lambda k, i: item(k, F.concat(x["a"], F.array(i)), x))))
+        return F.struct(below.alias("last"), F.concat(acc["all"], below).alias("all"))
+
+    def opened(start: Column, levels: int) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(levels)), start, step)
+    root = F.array(item(F.col(node_col), F.array().cast("array<int>"), None))
+    docs = df.where(F.col(node_col).isNotNull()).select(*keys, opened(F.struct(root.alias("last"), root.alias("all")), LEVELS).alias("_t"))
+    t = F.col("_t")
+    docs = docs.select(*keys, F.when(F.size(t["last"]) > 0, opened(t, MAX_LEVELS)).otherwise(t)["all"].alias("_all"))
+    in_order = F.array_sort(F.filter("_all", lambda x: ~x["s"]),
+                            lambda x, y: F.when(x["a"] < y["a"], -1).when(x["a"] > y["a"], 1).otherwise(0))
+    some = F.exists("_all", lambda x: x["s"]) if skip_field else F.lit(False)
+    docs = docs.select(*keys, some.alias("_some"), F.when(some, F.concat(in_order, F.filter("_all", lambda x: x["s"]))).otherwise(in_order).alias("_all"))
+    nodes = docs.select(*keys, "_some", F.posexplode_outer("_all").alias("_i", "_x"))  # outer: never empty, and Spark infers no filter that repeats the work
+    x = F.col("_x")
+    kids = children(x["n"])
+    count = F.when(F.col("_some"), F.size(F.filter(kids, lambda k: ~skipped(k)))).otherwise(F.size(kids)) if skip_field else F.size(kids)
+    return nodes.select(*keys, x["a"].alias("trace_address_array"), count.alias("sub_traces"),
+                        F.when(~x["s"], F.col("_i")).alias("trace_index"),
+                        F.coalesce(strip_field(x["n"], child_field), x["n"]).alias("node"), *[x[f].alias(f) for f in inherit])
+
+
 def flatten_tree(df: DataFrame, node_col: str, keys: list[str], child_field: str = "calls",
                  inherit: dict[str, str] | None = None, skip_field: str | None = None) -> DataFrame:
     """One row per node: keys, trace_address_array, trace_address, parent_trace_address,
     depth, sub_traces (children in the document), trace_index (depth-first position), node
     (VARIANT, children removed) and one boolean per `inherit` entry.
 
-    `node_col` is a VARIANT or JSON text; text keeps trees of any depth. A null gives no row.
+    `node_col` is a VARIANT or JSON text; text keeps trees of any depth, at the price of Python. A null
+    gives no row.
     inherit = {"path_error": "error"}: true when that field holds a value (JSON null does not
     count) on the node or on any ancestor (root included). Nodes that have `skip_field` get
     no trace_index, are no one's child and pass no flag on.
     """
     inherit = inherit or {}
-    text = F.col(node_col)
     if df.schema[node_col].dataType != T.StringType():
-        text = F.to_json(text)
+        rows = _open(df, node_col, keys, child_field, inherit, skip_field)
+        return rows.select(*keys, address_text("trace_address_array").alias("trace_address"),
+                           parent_text("trace_address_array").alias("parent_trace_address"), "trace_address_array",
+                           F.size("trace_address_array").alias("depth"), "sub_traces", "trace_index", "node", *inherit)
     names = [*keys, "trace_address_array", "depth", "sub_traces", "trace_index", "_text", *inherit]
     schema = T.StructType([*[df.schema[k] for k in keys],
                            T.StructField("trace_address_array", T.ArrayType(T.IntegerType())),
                            *[T.StructField(c, T.IntegerType()) for c in ("depth", "sub_traces", "trace_index")],
                            T.StructField("_text", T.StringType()), *[T.StructField(c, T.BooleanType()) for c in inherit]])
-    rows = df.select(*keys, text.alias("_doc")).mapInArrow(
+    rows = df.select(*keys, F.col(node_col).alias("_doc")).mapInArrow(
         _walk(len(keys), names, child_field, tuple(inherit.values()), skip_field), schema)
     return rows.select(*keys, address_text("trace_address_array").alias("trace_address"),
                        parent_text("trace_address_array").alias("parent_trace_address"), "trace_address_array",

@@ -43,12 +43,21 @@ def _new_since(bronze: DataFrame, target: DataFrame | None) -> DataFrame:
     return since(bronze, "_inserted_timestamp", high_water(target, "_inserted_timestamp", FLOOR))
 
 
+def _latest(src: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Latest delivery per key; deliveries of one time are told apart by the hash of their line."""
+    return latest_per_key(src, keys, order, tiebreak=["line_hash"] if "line_hash" in src.columns else "all").drop("line_hash")
+
+
+def _line(bronze: DataFrame) -> list[str]:
+    return [c for c in ("line_hash",) if c in bronze.columns]
+
+
 def silver_blocks(bronze: DataFrame, run_ts: dt.datetime, target: DataFrame | None = None,
                   run_id: str | None = None) -> DataFrame:
     """M1: latest block document per block_number."""
     src = _new_since(bronze, target).where(F.col("data").isNotNull())
-    src = src.select("block_number", "partition_key", F.col("data").alias("block_json"), "_inserted_timestamp")
-    out = latest_per_key(src, ["block_number"], ["_inserted_timestamp desc"])
+    src = src.select("block_number", "partition_key", F.col("data").alias("block_json"), "_inserted_timestamp", *_line(bronze))
+    out = _latest(src, ["block_number"], ["_inserted_timestamp desc"])
     return with_audit(out.withColumn("blocks_id", surrogate_key("block_number")), run_ts, run_id)
 
 
@@ -57,8 +66,8 @@ def silver_transactions(bronze: DataFrame, run_ts: dt.datetime, target: DataFram
     """M2: one transaction document per (block, position); rows without position dropped."""
     src = _new_since(bronze, target).where(F.col("data").isNotNull())
     src = src.select("block_number", "partition_key", jget("value", "$.array_index", "int").alias("tx_position"),
-                     F.col("data").alias("transaction_json"), "_inserted_timestamp").where("tx_position IS NOT NULL")
-    out = latest_per_key(src, ["block_number", "tx_position"], ["_inserted_timestamp desc"])
+                     F.col("data").alias("transaction_json"), "_inserted_timestamp", *_line(bronze)).where("tx_position IS NOT NULL")
+    out = _latest(src, ["block_number", "tx_position"], ["_inserted_timestamp desc"])
     return with_audit(out.withColumn("transactions_id", surrogate_key("block_number", "tx_position")), run_ts, run_id)
 
 
@@ -69,8 +78,8 @@ def silver_receipts(bronze: DataFrame, run_ts: dt.datetime, target: DataFrame |
     A present `result: null` stays (it never matches a transaction later)."""
     src = _new_since(bronze, target).where(jnode("data", "$.result").isNotNull())
     src = src.select("block_number", "partition_key", "tx_hash", jnode("data", "$.result").alias("receipts_json"),
-                     "_inserted_timestamp")
-    out = latest_per_key(src, ["tx_hash"], ["block_number desc", "_inserted_timestamp desc"])
+                     "_inserted_timestamp", *_line(bronze))
+    out = _latest(src, ["tx_hash"], ["block_number desc", "_inserted_timestamp desc"])
     return with_audit(out.withColumn("receipts_id", surrogate_key("block_number", "tx_hash")), run_ts, run_id)
 
 
@@ -78,14 +87,18 @@ def silver_traces(bronze: DataFrame, run_ts: dt.datetime, target: DataFrame | No
                   run_id: str | None = None) -> DataFrame:
     """M4: one row per call node of the latest trace document per (block, position), with its
     depth-first position, child count and whether it or a caller failed."""
-    deep = _result_of(F.col("data_text")) if "data_text" in bronze.columns else F.lit(None).cast("string")
+    deep = F.col("data_text") if "data_text" in bronze.columns else F.lit(None).cast("string")
     src = _new_since(bronze, target).select(
         "block_number", jget("value", "$.array_index", "int").alias("tx_position"), "partition_key",
-        F.coalesce(F.to_json(jnode("data", "$.result")), deep).alias("full_traces"), "_inserted_timestamp")
-    src = latest_per_key(src.where("full_traces IS NOT NULL"), ["block_number", "tx_position"],
-                         ["_inserted_timestamp desc"])
-    out = flatten_tree(src, "full_traces", ["block_number", "tx_position", "partition_key", "_inserted_timestamp"],
-                       inherit={"path_error": "error"}, skip_field="failed")
+        jnode("data", "$.result").alias("full_traces"), deep.alias("_deep"), "_inserted_timestamp", *_line(bronze))
+    src = _latest(src.where("full_traces IS NOT NULL OR _deep IS NOT NULL"), ["block_number", "tx_position"],
+                  ["_inserted_timestamp desc"])
+    keys = ["block_number", "tx_position", "partition_key", "_inserted_timestamp"]
+    how = {"inherit": {"path_error": "error"}, "skip_field": "failed"}
+    out = flatten_tree(src.where("full_traces IS NOT NULL"), "full_traces", keys, **how)
+    if "data_text" in bronze.columns:  # documents beyond VARIANT, as text
+        long = src.where("full_traces IS NULL").select(*keys, _result_of(F.col("_deep")).alias("full_traces"))
+        out = out.unionByName(flatten_tree(long, "full_traces", keys, **how))
     out = out.withColumnRenamed("node", "trace_json").drop("depth")
     out = out.withColumn("traces_id", surrogate_key("block_number", "tx_position", "trace_address"))
     return with_audit(out, run_ts, run_id)

@@ -26,7 +26,7 @@ RAW_ENTITIES = {
     "confirm_blocks": {},
 }
 
-ENVELOPE = ["partition_key", "value", "data", "metadata", "data_text", "file_name", "_inserted_timestamp"]
+ENVELOPE = ["partition_key", "value", "data", "metadata", "data_text", "file_name", "_inserted_timestamp", "line_hash"]
 
 
 _DEEP = T.StructType([*[T.StructField(c, T.StringType()) for c in ("partition_key", "value", "data", "metadata")],
@@ -45,39 +45,48 @@ def _deep_record(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["partition_key", "value", "data", "metadata", "failed"])
 
 
+# a record that nests deeper than VARIANT parses (1,000 levels) opens and closes as many brackets
+_DEEP_CHARS = 2000
+
+
 def envelope_from_text(df: DataFrame, text: str = "value", file_name: Column | None = None,
                        inserted: Column | None = None) -> DataFrame:
-    """JSON-line text -> (partition_key, value, data, metadata VARIANT, data_text, file_name, _inserted_timestamp).
+    """JSON-line text -> (partition_key, value, data, metadata VARIANT, data_text, file_name, _inserted_timestamp, line_hash).
 
     A record too deep for VARIANT keeps its payload in `data_text` (null for all others); a
-    line that is no JSON object gives a row of nulls, see `unreadable`.
+    line that is no JSON gives no row, see `unreadable`. Records are parsed once, in the JVM.
+    Only long lines that VARIANT refuses travel to Python, by a scan of their own that drops all others.
     """
     raw = F.col(text)
-    read = df.select("*", F.try_parse_json(raw).alias("_rec"))
-    # only lines that did not parse travel to Python; the rest pass as nulls
-    read = read.withColumn("_deep", _deep_record(F.when(F.col("_rec").isNull(), raw)))
-    rec, deep = F.col("_rec"), F.col("_deep")
-
-    def field(name: str) -> Column:
-        return F.coalesce(jnode(rec, f"$.{name}"), F.try_parse_json(deep[name]))
-    return read.select(
-        F.coalesce(jget(rec, "$.partition_key", "int"), F.regexp_replace(deep["partition_key"], '"', "").try_cast("int"))
-        .alias("partition_key"),
-        field("value").alias("value"), field("data").alias("data"), field("metadata").alias("metadata"),
-        F.when(deep["data"].isNotNull() & ~F.coalesce(deep["failed"], F.lit(False)), deep["data"]).alias("data_text"),
-        (file_name if file_name is not None else F.lit(None).cast("string")).alias("file_name"),
-        (inserted if inserted is not None else F.lit(None).cast("timestamp_ntz")).alias("_inserted_timestamp"),
-    )
+    where_from = [(file_name if file_name is not None else F.lit(None).cast("string")).alias("file_name"),
+                  (inserted if inserted is not None else F.lit(None).cast("timestamp_ntz")).alias("_inserted_timestamp"),
+                  F.xxhash64(raw).alias("line_hash")]
+    # exploded, so that the filter sees the parsed record and does not parse the line again
+    read = df.select(*where_from, F.explode_outer(F.array(F.try_parse_json(raw))).alias("_rec")).where("_rec is not null")
+    rec = F.col("_rec")
+    flat = read.select(jget(rec, "$.partition_key", "int").alias("partition_key"),
+                       *[jnode(rec, f"$.{c}").alias(c) for c in ("value", "data", "metadata")],
+                       F.lit(None).cast("string").alias("data_text"), "file_name", "_inserted_timestamp", "line_hash")
+    refused = df.where((F.length(raw) > _DEEP_CHARS) & F.try_parse_json(raw).isNull())
+    long = refused.select(*where_from, _deep_record(raw).alias("_deep"))
+    deep = F.col("_deep")
+    payload = F.when(~F.coalesce(deep["failed"], F.lit(False)), deep["data"])
+    long = long.select(F.regexp_replace(deep["partition_key"], '"', "").try_cast("int").alias("partition_key"),
+                       *[F.try_parse_json(deep[c]).alias(c) for c in ("value", "data", "metadata")],
+                       payload.alias("data_text"), "file_name", "_inserted_timestamp", "line_hash")
+    return flat.union(long)
 
 
 def unreadable(df: DataFrame, text: str = "value") -> DataFrame:
     """The rows whose text is no JSON object: what a run should report instead of losing."""
     raw = F.col(text)
-    rec = df.select("*", F.try_parse_json(raw).alias("_rec"))
-    rec = rec.withColumn("_deep", _deep_record(F.when(F.col("_rec").isNull(), raw)))
-    shallow = F.schema_of_variant("_rec").startswith("OBJECT")
-    deep = F.coalesce(F.col("_deep.data"), F.col("_deep.value"), F.col("_deep.partition_key")).isNotNull()
-    return rec.where(~F.coalesce(shallow, F.lit(False)) & ~deep).select(*df.columns)
+    read = df.select("*", F.explode_outer(F.array(F.try_parse_json(raw))).alias("_rec"))
+    other = read.where(F.col("_rec").isNotNull() & ~F.schema_of_variant("_rec").startswith("OBJECT")).drop("_rec")
+    refused = read.where("_rec is null").drop("_rec")
+    short = refused.where(F.length(raw) <= _DEEP_CHARS)
+    long = refused.where(F.length(raw) > _DEEP_CHARS).withColumn("_deep", _deep_record(raw))
+    found = F.coalesce(F.col("_deep.data"), F.col("_deep.value"), F.col("_deep.partition_key")).isNotNull()
+    return other.union(short).union(long.where(~found).drop("_deep"))
 
 
 def resolve_block_number(df: DataFrame, full_scan: bool = False) -> DataFrame:

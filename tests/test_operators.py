@@ -1,4 +1,6 @@
 import datetime as dt
+import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -108,3 +110,28 @@ def test_with_constants_and_gaps(spark):
     assert with_constants(df, [{"s": "x"}, {"s": "y"}]).count() == 8
     g = sorted((r.v_previous, r.v, r.gap) for r in sequence_gaps(df, "v").collect())
     assert g == [(2, 5, 2), (5, 9, 3)]
+
+
+def test_both_ways_of_flattening_agree(spark):
+    """VARIANT documents are opened in the JVM, text is walked in Python: same nodes, positions, counts and flags."""
+    r = random.Random(7)
+
+    def node(depth):
+        n = {"type": r.choice(["CALL", None, 3]), "z": r.random() < 0.5}
+        if r.random() < 0.2:
+            n["error"] = r.choice(["x", None, {"a": 1}, False])
+        if r.random() < 0.15:
+            n["failed"] = r.choice([None, True])
+        if depth and r.random() < 0.8:
+            n["calls"] = r.choice([None, [], [node(depth - 1) for _ in range(r.randint(1, 4))], [node(depth - 1), 5, "s", None, [1]]])
+        return n
+
+    def line(depth):
+        return {"type": "CALL", **({"calls": [line(depth - 1), {"type": "x", "failed": 1, "error": "e"}]} if depth else {"error": "deep"})}
+    docs = [json.dumps(x) for x in [*[node(5) for _ in range(60)], line(40), line(200), "leaf", 7, None, [1]]]
+    df = spark.createDataFrame(list(enumerate(docs)), "k int, j string")
+    for skip in ("failed", None):
+        how = {"inherit": {"bad": "error", "odd": "z"}, "skip_field": skip}
+        got = [sorted(map(str, flatten_tree(d, c, ["k"], **how).withColumn("node", F.to_json("node")).collect()))
+               for d, c in ((df, "j"), (df.select("k", as_variant("j").alias("v")), "v"))]
+        assert got[0] == got[1] and len(got[0]) > 500
