@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import lit_ts
 from .joins import join_keys
 from .latest import latest_per_key
+from .stored import read_keys, read_table, upsert_table, version_info
 
 EPOCH = dt.datetime(1970, 1, 1)
 
@@ -76,3 +77,19 @@ def add_totals(prev: DataFrame | None, batch: DataFrame, key: str, counts: list[
     for c in latest:
         out.append(F.greatest(F.col(c), F.col(f"__p_{c}")).alias(c))
     return j.select(*out)
+
+
+def count_once(spark: SparkSession, path: str, batch: DataFrame, key: str, counts: list[str], latest: dict[str, str] | None = None, *,
+               run_id: str, buckets: int = 64) -> DataFrame:
+    """Running totals kept as a stored table; a run is counted exactly once, however often it is repeated.
+
+    The run id goes into the version that holds its totals, in one step: a run that died before
+    is counted when it is repeated, one that was complete changes nothing. Only the totals of
+    the batch's keys are read and written.
+    """
+    info = version_info(spark, path)
+    if info is None or run_id not in info["applied"]:
+        totals = add_totals(read_keys(spark, path, batch, key), batch, key, counts, latest)
+        totals = totals.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        upsert_table(spark, path, totals, key, "bucket", run_id=run_id)
+    return read_table(spark, path).drop("bucket")

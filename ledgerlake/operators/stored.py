@@ -211,10 +211,12 @@ def _keys(key) -> list[str]:
 
 
 def _publish(spark, path: str, info: dict | None, schema: T.StructType, keys: list[str], partition_col: str | None, cluster: list[str],
-             run: str, files: DataFrame, report: dict) -> None:
+             run: str, files: DataFrame, report: dict, run_id: str | None = None) -> None:
     files.write.parquet(f"{path}/files/{run}")
+    applied = [*(info or {}).get("applied", []), *([run_id] if run_id is not None else [])]
     _commit(spark, path, 0 if info is None else info["number"] + 1, {
-        "schema": schema.jsonValue(), "key": keys, "partition": partition_col, "cluster": cluster, "files": run, "run": report})
+        "schema": schema.jsonValue(), "key": keys, "partition": partition_col, "cluster": cluster, "files": run, "run": report,
+        "applied": applied})
 
 
 def _one_row_a_key(df: DataFrame, keys: list[str]) -> None:
@@ -223,7 +225,7 @@ def _one_row_a_key(df: DataFrame, keys: list[str]) -> None:
 
 
 def replace_table(spark: SparkSession, path: str, df: DataFrame, key, partition_col: str | None = None, cluster=None, order=None,
-                  file_rows: int = FILE_ROWS) -> DataFrame:
+                  file_rows: int = FILE_ROWS, run_id: str | None = None) -> DataFrame:
     """Make `df` the whole table. Readers see the old table until the new one is complete; old versions stay readable."""
     keys, info = _keys(key), version_info(spark, path)
     cluster = list(cluster or keys)
@@ -231,7 +233,7 @@ def replace_table(spark: SparkSession, path: str, df: DataFrame, key, partition_
         df = latest_per_key(df, keys, order)
     run, files = _write(df, path, keys, partition_col, cluster, file_rows)
     _one_row_a_key(spark.read.schema(df.schema).parquet(f"{path}/data/{run}"), keys)
-    _publish(spark, path, info, df.schema, keys, partition_col, cluster, run, files, {"replaced": True})
+    _publish(spark, path, info, df.schema, keys, partition_col, cluster, run, files, {"replaced": True}, run_id)
     return read_table(spark, path)
 
 
@@ -255,17 +257,20 @@ def _candidates(spark: SparkSession, path: str, info: dict, batch: DataFrame, ke
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key, partition_col: str | None = None, mode: str = "replace_key",
                  keep_existing: list[str] | None = None, order=None, competing: bool = False, cluster=None,
-                 file_rows: int = FILE_ROWS) -> DataFrame:
+                 file_rows: int = FILE_ROWS, run_id: str | None = None) -> DataFrame:
     """Apply `batch` to the stored table by `key`; returns the table.
 
     Rows of the batch take the place of stored rows of their keys, wherever those lie. `merge`
     keeps the stored values of `keep_existing` and of columns that the batch lacks. `order` picks
     one of the rows of a key; without it a batch that repeats a key is refused. `competing`:
     stored rows stand for election under `order`. Applying a batch again gives the same rows.
+    With a `run_id`, which the version records, a run that was applied before changes nothing.
     """
     keys, info = _keys(key), version_info(spark, path)
     if info is None:
-        return replace_table(spark, path, batch, keys, partition_col, cluster, order, file_rows)
+        return replace_table(spark, path, batch, keys, partition_col, cluster, order, file_rows, run_id)
+    if run_id is not None and run_id in info["applied"]:
+        return read_table(spark, path)
     partition_col, cluster = partition_col or info["partition"], list(cluster or info["cluster"])
     schema = merged_schema(stored_schema(info), batch.schema, keys)
     lacking = [f.name for f in schema.fields if f.name not in batch.columns]
@@ -292,10 +297,19 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key, partitio
     gone = before.where(F.col("file").isin(held)) if held else before.limit(0)
     kept = before.join(gone.select("fid"), "fid", "left_anti")
     _publish(spark, path, info, schema, keys, partition_col, cluster, run, kept.unionByName(added, allowMissingColumns=True),
-             {"opened": len(may), "rewritten": len(held)})
+             {"opened": len(may), "rewritten": len(held)}, run_id)
     return read_table(spark, path)
 
 
+def read_keys(spark: SparkSession, path: str, keyed: DataFrame, key) -> DataFrame | None:
+    """Stored rows of the keys in `keyed`, from the files alone that may hold them; None if there is no table."""
+    keys, info = _keys(key), version_info(spark, path)
+    if info is None:
+        return None
+    rows = _rows_of(spark, path, stored_schema(info), _candidates(spark, path, info, keyed.select(*keys), keys))
+    return join_keys(rows, keyed.select(*keys).distinct(), keys, "left_semi", null_safe=True)
+
+
 def compact_table(spark: SparkSession, path: str, file_rows: int = FILE_ROWS) -> DataFrame | None:
     """Put files of less than half of `file_rows` together, where a partition has more than one of them."""
     info = version_info(spark, path)

@@ -119,19 +119,61 @@ def bronze(envelope: DataFrame, entity: str, full_scan: bool = False) -> DataFra
     return out
 
 
+def _relative(path: Column, root: str) -> Column:
+    """A file's path below `root`, whatever scheme it is written with; paths that are relative already stay."""
+    at = F.locate(root, path)
+    return F.ltrim(F.when(at > 0, F.substring(path, at + len(root), F.length(path))).otherwise(path), F.lit("/"))
+
+
+def _root_path(spark: SparkSession, root: str) -> str:
+    return spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") + "/"
+
+
+def registered_files(spark: SparkSession, root: str, manifest: DataFrame, since: dt.datetime | None = None) -> DataFrame:
+    """file_name, registered_at, present of every file the manifest names (from `since` on, by registration).
+
+    The folder is listed by Spark, no file is opened. A file registered twice counts once, with its newest stamp.
+    """
+    m = manifest if since is None else manifest.where(F.col("_inserted_timestamp") >= F.lit(since))
+    base = _root_path(spark, root)
+    named = (m.select(_relative(F.col("file_name"), base).alias("file_name"), "_inserted_timestamp")
+             .groupBy("file_name").agg(F.max("_inserted_timestamp").alias("registered_at")))
+    there = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+             .select(_relative(F.col("path"), base).alias("file_name")).distinct())
+    return named.join(there.withColumn("present", F.lit(True)), "file_name", "left").withColumn("present", F.col("present").isNotNull())
+
+
+def _lines(reader, paths) -> DataFrame:
+    return reader.text(paths).where("value <> ''").select("value", F.col("_metadata.file_path").alias("_path"),
+                                                           F.col("_metadata.file_modification_time").alias("_mtime"))
+
+
 def read_raw(spark: SparkSession, path: str, entity: str, since: dt.timedelta | None = None,
-             now: dt.datetime | None = None) -> DataFrame:
-    """Scan raw JSON files of an entity.
+             now: dt.datetime | None = None, manifest: DataFrame | None = None) -> DataFrame:
+    """Scan raw JSON files of an entity.
 
     `since` limits the scan to files modified in the window: the `modifiedAfter`
     option prunes files at listing time, before any task runs (S2); None reads all (S3).
+    With a `manifest` (file_name, _inserted_timestamp) exactly its files are read, those registered
+    in the window if there is one, and rows carry the registration as their time; others are
+    never opened. Names without a file are skipped: `registered_files` reports them.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
+    start = None
     if since is not None:
         now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        reader = reader.option("modifiedAfter", (now - since).strftime("%Y-%m-%dT%H:%M:%S"))
-    txt = reader.text(path).where("value <> ''").select("value", F.col("_metadata.file_path").alias("_path"),
-                                   F.col("_metadata.file_modification_time").alias("_mtime"))
+        start = now - since
+    if manifest is not None:
+        files = registered_files(spark, path, manifest, start).where("present").drop("present")
+        names = [f"{path.rstrip('/')}/{r[0]}" for r in files.select("file_name").toLocalIterator()]
+        txt = _lines(spark.read, names) if names else spark.createDataFrame([], "value string, _path string, _mtime timestamp")
+        rel = _relative(F.col("_path"), _root_path(spark, path))
+        txt = (txt.withColumn("_rel", rel).join(files.withColumnRenamed("file_name", "_rel"), "_rel")
+               .select("value", "_path", F.col("registered_at").alias("_mtime")))
+    else:
+        if start is not None:
+            reader = reader.option("modifiedAfter", start.strftime("%Y-%m-%dT%H:%M:%S"))
+        txt = _lines(reader, path)
     env = envelope_from_text(txt, "value", F.col("_path"), F.col("_mtime").cast("timestamp_ntz"))
     # partition key from the path (S4) where the record does not carry one
     env = env.withColumn("partition_key", F.coalesce(
@@ -140,7 +182,8 @@ def read_raw(spark: SparkSession, path: str, entity: str, since: dt.timedelta |
 
 
 def join_manifest(raw: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Keep records of registered files only, on (file_name, partition_key).
+    """Keep records of registered files only, on (file_name, partition_key) (S5), of a frame that is read already;
+    `read_raw(manifest=...)` does not open other files in the first place.
 
     The manifest has one row per file; broadcast is safe only while that holds,
     so it is left to AQE, which broadcasts on measured size.
