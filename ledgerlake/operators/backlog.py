@@ -82,8 +82,10 @@ def missing_keys(spine: DataFrame, ledger: DataFrame, keys: list[str]) -> DataFr
 
 
 def newest(df: DataFrame, order, n: int | None) -> DataFrame:
-    """ORDER BY ... LIMIT n, planned as a distributed top-k (L1-L3); None takes all, unordered."""
-    return df if n is None else df.orderBy(*sort_columns(order)).limit(n)
+    """ORDER BY ... LIMIT n, planned as a distributed top-k (L1, L2), or any n rows without an `order` (L3); None takes all."""
+    if n is None:
+        return df
+    return (df.orderBy(*sort_columns(order)) if order else df).limit(n)
 
 
 def top_n(df: DataFrame, measure: str, n: int | None, tiebreak: list[str]) -> DataFrame:

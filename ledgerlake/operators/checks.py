@@ -104,10 +104,14 @@ _OPS = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le
 
 def evaluate(failures: DataFrame, error_if: str = "!=0") -> dict:
     """{'failures': n, 'status': 'error'|'pass'} with a threshold like '>10' (Q12)."""
+    return judge(failures.count(), error_if)
+
+
+def judge(n: int, error_if: str = "!=0") -> dict:
+    """The same for a number of failures that is known."""
     m = re.match(r"^\s*(>=|<=|!=|<>|==|=|>|<)\s*(\d+)\s*$", error_if)
     if not m:
         raise ValueError(error_if)
-    n = failures.count()
     return {"failures": n, "status": "error" if _OPS[m.group(1)](n, int(m.group(2))) else "pass"}
 
 

@@ -923,3 +923,7 @@ def q_stream_counters(spark, sf):
         out = counters_stream(read_stream(spark, path, schema), "user_id",
                               {"n_events": F.count(F.lit(1)), "last_ts": F.max("ts")}, f"{base}/_checkpoint", f"{base}/table")
     return out.select("user_id", F.col("n_events").cast("bigint"), "last_ts")
+
+
+# the queries over stored tables and ingestion register themselves
+from . import ingestion, tables  # noqa: E402, F401
