@@ -41,6 +41,14 @@ def _lookup_floor(mark: dt.datetime | None) -> dt.datetime | None:
     return dt.datetime(mark.year, mark.month, mark.day) - dt.timedelta(days=1)
 
 
+def _near(missing: DataFrame, *lookups: DataFrame) -> list[DataFrame] | None:
+    """The lookups within the range of blocks that rows to heal come from; None if there is nothing to heal."""
+    r = missing.agg(F.min("block_number").alias("lo"), F.max("block_number").alias("hi")).first()
+    if r["lo"] is None:
+        return None
+    return [d.where(F.col("block_number").between(r["lo"], r["hi"])) for d in lookups]
+
+
 # ---------------------------------------------------------------- M5 blocks
 def fact_blocks(silver_blocks: DataFrame, run_ts: dt.datetime, target: DataFrame | None = None,
                 network: str = NETWORK) -> DataFrame:
@@ -142,11 +150,13 @@ def fact_transactions(silver_tx: DataFrame, blocks: DataFrame, receipts: DataFra
     base, mark = _delta(silver_tx, target)
     rows = _tx_rows(_tx_fields(base), blocks, receipts, _lookup_floor(mark))
     if target is not None:
-        # heal: re-derive incomplete rows from silver, with unrestricted lookups
-        missing = target.where(F.col("block_timestamp").isNull() | F.col("tx_succeeded").isNull())
-        again = join_keys(silver_tx, missing.select("block_number", "tx_position"),
-                          ["block_number", "tx_position"], "left_semi")
-        rows = rows.unionByName(_tx_rows(_tx_fields(again), blocks, receipts, None))
+        # heal: re-derive incomplete rows from silver, with lookups as old as they need; a receipt without
+        # a status is an answer, not a gap
+        missing = target.where(F.col("block_timestamp").isNull() | (F.col("tx_succeeded").isNull() & F.col("gas_used").isNull()))
+        near = _near(missing, silver_tx, blocks, receipts)
+        if near is not None:
+            again = join_keys(near[0], missing.select("block_number", "tx_position"), ["block_number", "tx_position"], "left_semi")
+            rows = rows.unionByName(_tx_rows(_tx_fields(again), near[1], near[2], None))
     rows = latest_per_key(rows, ["tx_hash"], TX_ORDER, tiebreak=["tx_position", "tx_fee_precise"])
     return with_audit(rows.withColumn("fact_transactions_id", surrogate_key("tx_hash")), run_ts)
 
@@ -194,7 +204,9 @@ def fact_event_logs(receipts: DataFrame, blocks: DataFrame, txs: DataFrame, run_
     if target is not None:
         missing = target.where(F.col("block_timestamp").isNull() | F.col("origin_function_signature").isNull())
         again = missing.select(*[c for c in LOG_COLS if c not in ("block_timestamp", "origin_function_signature")])
-        rows = rows.unionByName(_log_lookups(again, blocks, txs, None).select(*LOG_COLS))
+        near = _near(missing, blocks, txs)
+        if near is not None:
+            rows = rows.unionByName(_log_lookups(again, *near, None).select(*LOG_COLS))
         # only a heal can bring a second row for a key (receipts are unique per tx)
         rows = latest_per_key(rows, ["tx_hash", "event_index"], LOG_ORDER,
                               tiebreak=["tx_position", "contract_address"])
@@ -244,8 +256,10 @@ def fact_traces(silver_traces: DataFrame, txs: DataFrame, run_ts: dt.datetime,
     floor = None if mark is None else mark - dt.timedelta(hours=24)
     rows = _trace_lookup(trace_nodes(base), txs, floor).select(*TRACE_COLS)
     if target is not None:
-        missing = target.where(F.col("block_timestamp").isNull() | F.col("tx_succeeded").isNull())
-        rows = rows.unionByName(_trace_lookup(missing.select(*TRACE_COLS), txs, None).select(*TRACE_COLS))
+        missing = target.where(F.col("block_timestamp").isNull() | F.col("tx_hash").isNull())
+        near = _near(missing, txs)
+        if near is not None:
+            rows = rows.unionByName(_trace_lookup(missing.select(*TRACE_COLS), near[0], None).select(*TRACE_COLS))
         # silver is one row per node, so only healed rows can compete for a key
         rows = latest_per_key(rows, ["block_number", "tx_position", "trace_index"], TRACE_ORDER,
                               tiebreak=["trace_address"])

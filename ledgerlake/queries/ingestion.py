@@ -16,7 +16,7 @@ from ..plans import ingest as IN
 from ..session import path_exists
 from ..sources import read_raw, registered_files
 from ..sources.seed import Catalog, read_seed
-from ..streaming import ingest_stream, work_dir
+from ..streaming import heal_stream, ingest_stream, read_stream, work_dir
 from . import chain as CH
 from .registry import T, chain, query
 from .sqlparts import TX_CTE
@@ -89,6 +89,23 @@ def q_stream_raw(spark, sf):
     return good.select(F.col("block_number").cast("bigint").alias("o_orderkey"), F.lit("kept").alias("fate")).union(bad.select(number, "reason"))
 
 
+@query("heal_stream", """
+SELECT o_orderkey, o_orderkey // 20 AS block_number, o_totalprice,
+       CASE WHEN (o_orderkey // 20) % 7 <> 3 THEN 788918400 + 12 * (o_orderkey // 20) END AS epoch, (o_orderkey // 20) % 7 <> 3 AS complete FROM orders""")
+def q_heal_stream(spark, sf):
+    """Orders as rows, blocks as parents: every second block comes a run late, every seventh never; then a run without news."""
+    base = work_dir(spark, "heal-stream")
+    o = T(spark, sf, "orders").select("o_orderkey", F.floor(F.col("o_orderkey") / 20).alias("block_number"), "o_totalprice")
+    blocks = o.select("block_number").distinct().where("block_number % 7 <> 3").withColumn("epoch", F.lit(CH.ZERO_EPOCH) + 12 * F.col("block_number"))
+    deliveries = [(o.where("o_orderkey % 10 <> 1"), blocks.where("block_number % 2 = 0")), (o.where("o_orderkey % 10 = 1"), blocks.where("block_number % 2 = 1"))]
+    for delivery in [*deliveries, None]:
+        for name, part in zip(("rows", "blocks"), delivery or ()):
+            part.write.mode("append").parquet(f"{base}/{name}")
+        rows, parents = read_stream(spark, f"{base}/rows", o.schema), read_stream(spark, f"{base}/blocks", blocks.schema)
+        out = heal_stream(rows, parents, "block_number", ["o_orderkey"], f"{base}/_checkpoint", f"{base}/table")
+    return out.select("o_orderkey", "block_number", "o_totalprice", "epoch", "complete")
+
+
 # ------------------------------------------------------------------ backlogs with their caps
 _REQUEST = """'{{"id":' || {n}::VARCHAR || ',"jsonrpc":"2.0","method":"{m}","params":[{p}]}}'"""
 
