@@ -98,7 +98,19 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+OP7_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS h FROM p),
+b AS (  -- five hexadecimal digits are four of base 32
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+         lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, (i * 5 + 1)::INT, 5))::BIGINT >> k) & 31)::INT + 1, 1)), '')), '') AS payload_digest
+  FROM d),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM b)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to FROM f
+"""
 QUERIES |= {"op7_warc": op7_warc}
+ORACLES |= {"op7_warc": OP7_SQL}
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -617,3 +617,29 @@ def test_components(spark):
     got = components.connected_components(spark.createDataFrame(edges, "a long, b long"))
     assert {r.node: r.root for r in got.collect()} == want
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_scores_equal_a_plain_forward_pass():
+    """One byte window, one filter, one chunk at a time, in plain loops over the network's own weights."""
+    r = np.random.default_rng(5)
+    texts = [b"", b"short text.", bytes(r.integers(1, 255, classifier.CHUNK + 3, dtype=np.uint8)),
+             bytes(r.integers(32, 127, 2 * classifier.CHUNK + classifier.HOP, dtype=np.uint8))]
+    net = classifier.Network(9)
+    net.w[1] = r.normal(0, 0.2, len(net.w[1])).astype(np.float32)
+    w, b, v, c, u, d = (x.astype(np.float64) for x in net.w)
+    want = []
+    for t in texts:
+        best = None
+        start = 0
+        while best is None or start + classifier.CHUNK - classifier.HOP < len(t):
+            chunk = t[start:start + classifier.CHUNK].ljust(classifier.CHUNK, b"\0")
+            pooled = None
+            for p in range(0, classifier.CHUNK - classifier.WIDTH + 1, classifier.STRIDE):
+                seen = np.concatenate([classifier._BYTES[x] for x in chunk[p:p + classifier.WIDTH]]).astype(np.float64)
+                y = np.array([sum(seen * w[:, k]) for k in range(w.shape[1])])
+                pooled = y if pooled is None else np.maximum(pooled, y)
+            hidden = np.maximum(np.maximum(pooled + b, 0) @ v + c, 0)
+            best = hidden if best is None else np.maximum(best, hidden)
+            start += classifier.HOP
+        want.append(1 / (1 + np.exp(-(best @ u + d[0]))))
+    assert np.allclose(net.scores(*classifier.chunks_of(texts)), want, atol=1e-4)
