@@ -107,7 +107,7 @@ b AS (  -- five hexadecimal digits are four of base 32
   FROM d),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM b)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> first THEN first END AS refers_to FROM f
+       CASE WHEN page_id <> first THEN first END AS refers_to, true AS has_request FROM f
 """
 QUERIES |= {"op7_warc": op7_warc}
 ORACLES |= {"op7_warc": OP7_SQL}
