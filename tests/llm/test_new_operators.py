@@ -218,12 +218,18 @@ def brute_contaminated(docs, items, containment=1.0):
     out = []
     for i, t in docs:
         w, hit, own = low_words(t), set(), set()
-        for span, names in windows.items():
+        if containment == 1:  # the same by a look at every run of the document's words
+            for n in {len(x) for x in windows}:
+                for s in range(len(w) - n + 1):
+                    if tuple(w[s:s + n]) in windows:
+                        hit |= set(range(s, s + n))
+                        own |= windows[tuple(w[s:s + n])]
+        for span, names in windows.items() if containment < 1 else ():
             g = min(5, len(span))
             n = len(span) - g + 1
             for s in range(len(w) - len(span) + 1):
                 same = sum(tuple(w[s + k:s + k + g]) == span[k:k + g] for k in range(n))
-                if same >= max(1, -int(-containment * n // 1)) if containment < 1 else same == n:
+                if same >= max(1, -int(-containment * n // 1)):
                     hit |= set(range(s, s + len(span)))
                     own |= names
         out.append((i, len(w), len(hit), sorted(own)))
