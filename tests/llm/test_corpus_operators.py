@@ -421,19 +421,32 @@ def test_edit_distance():
         assert lines.edit_distance(a, b) == edit_table(a, b)
 
 
+def plain_line(x):
+    """A line as it is compared, and whether it is long enough to be compared with others."""
+    low = "".join("0" if "0" <= c <= "9" else c for c in x.lower() if not ("!" <= c <= "~" and not c.isalnum()))
+    low = b" ".join(low.encode().split()).decode()
+    return (low, True) if len(low) >= lines.MIN_CHARS else (x.strip(), False)
+
+
 def brute_lines(texts):
+    """Every pair of different lines by edit distance alone, but for those their letter counts rule out."""
     occ = collections.defaultdict(list)
     for i, t in sorted(set(texts), key=lambda x: (x[0] is not None, x[0] or 0)):
-        for k, w in enumerate(lines.normalised_lines(t or "")):
-            if len(b" ".join(w)) >= lines.MIN_CHARS:
-                occ[b" ".join(w)].append(((i is not None, i or 0), k))
+        for k, x in enumerate((t or "").split("\n")):
+            if plain_line(x)[0]:
+                occ[plain_line(x)].append(((i is not None, i or 0), k))
     keys = list(occ)
-    sim = lines.line_simhashes([k.split() for k in keys])
     g = Groups(len(keys))
-    for i in range(len(keys)):
-        for j in np.flatnonzero(np.bitwise_count(sim[i + 1:] ^ sim[i]) <= lines.MAX_BITS) + i + 1:
-            if lines.similar(keys[i], keys[j]):
-                g.join(i, int(j))
+    order = sorted((i for i, k in enumerate(keys) if k[1]), key=lambda i: len(keys[i][0]))
+    size = np.array([len(keys[i][0]) for i in order])
+    letters = np.array([np.bincount([ord(c) % 128 for c in keys[i][0]], minlength=128) for i in order], np.int16)
+    for at, i in enumerate(order):
+        end = np.searchsorted(size, size[at] / 0.8, "right")
+        common = np.minimum(letters[at], letters[at + 1:end]).sum(1)
+        for k in np.flatnonzero(size[at + 1:end] - common <= 0.2 * size[at + 1:end]) + at + 1:
+            j = order[k]
+            if g.find(i) != g.find(j) and lines.similar(keys[i][0], keys[j][0]):
+                g.join(i, j)
     groups = collections.defaultdict(list)
     for i, k in enumerate(keys):
         groups[g.find(i)] += occ[k]
@@ -478,7 +491,7 @@ def test_line_dedup_finds_changed_words(spark):
     assert got[len(texts) - 1] == 1 and sum(got.values()) <= len(want) + 1
     for n, changed in {x[:2] for x in want}:
         found = [got[i] for a, b, i in want if (a, b) == (n, changed)]
-        assert sum(found) >= 0.75 * len(found), (n, changed, sum(found), len(found))
+        assert sum(found) >= 0.9 * len(found), (n, changed, sum(found), len(found))
 
 
 def test_line_dedup_odd_rows(spark, odd):
@@ -488,7 +501,11 @@ def test_line_dedup_odd_rows(spark, odd):
     t = "a line that is long enough to be counted\nx\nA line that is long enough, to be counted!"
     df = spark.createDataFrame([(1, t), (1, t), (None, t)], "doc_id bigint, text string")
     got = sorted((str(r.doc_id), r.text) for r in lines.dedup_lines(df).collect())
-    assert got == [("1", "x"), ("1", "x"), ("None", t.split("\n")[0] + "\nx")]
+    assert got == [("1", ""), ("1", ""), ("None", t.split("\n")[0] + "\nx")]
+    # short lines: exact repeats only, white space at the ends aside; blank lines stay
+    short = [(1, "Share this\n\n1."), (2, " Share this \n\n2."), (3, "share this\n \n1.")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(short, "doc_id bigint, text string")).collect()}
+    assert got == {1: short[0][1], 2: "\n2.", 3: "share this\n "}
     assert lines.dedup_lines(odd.limit(0)).count() == 0
 
 
