@@ -475,7 +475,7 @@ def test_line_dedup_finds_changed_words(spark):
     common = ["the", "of", "and", "to", "in"]
     texts, want = [], []
     for n, changed in ((8, 1), (12, 1), (20, 1), (20, 2), (40, 2), (100, 5), (200, 4)):
-        for _ in range(60):
+        for _ in range(200):
             a = [r.choice(common) if r.random() < 0.4 else word() for _ in range(n)]
             b = list(a)
             for i in r.sample([i for i, w in enumerate(a) if w not in common], changed):
