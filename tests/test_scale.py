@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import gzip
 import os
+import re
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -49,3 +50,18 @@ def test_stored_frames_leave_no_shuffle_files(spark):
     assert shuffled() - before < 1_000_000  # 200,000 digests are some 8 MB
     assert out.count() == 200_000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def test_walk_sends_bounded_batches(spark):
+    """Chains of 300 calls have 45,000 steps of addresses each: 100 of them must not become one batch."""
+    import pyarrow as pa
+
+    from ledgerlake.operators.tree import WALK_HELD, _walk
+    n = 300
+    text = '{"k":1,"calls":[' * (n - 1) + '{"k":1}' + "]}" * (n - 1)
+    names = ["doc", "trace_address_array", "depth", "sub_traces", "trace_index", "_text", "path_error"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100), pa.int64()), pa.array([text] * 99 + [None])], names=["doc", "_doc"])
+    out = list(_walk(1, names, "calls", ("error",), None)(iter([batch])))
+    assert len(out) > 1 and sum(b.num_rows for b in out) == 99 * n
+    assert all(len(b.column(1).values) <= WALK_HELD + n for b in out)
+    assert [r for b in out for r in b.column(0).to_pylist()] == [d for d in range(99) for _ in range(n)]
