@@ -65,3 +65,12 @@ def test_walk_sends_bounded_batches(spark):
     assert len(out) > 1 and sum(b.num_rows for b in out) == 99 * n
     assert all(len(b.column(1).values) <= WALK_HELD + n for b in out)
     assert [r for b in out for r in b.column(0).to_pylist()] == [d for d in range(99) for _ in range(n)]
+
+
+def test_wide_hex_takes_as_few_limbs_as_it_needs(spark):
+    from ledgerlake.functions import hex_to_int
+    values = [16 ** n - 1 for n in range(30, 65)] + [16 ** n for n in range(30, 64)] + [10 ** n for n in range(30, 78)]
+    rows = spark.createDataFrame([(hex(v), str(v)) for v in values], "h string, d string")
+    assert rows.where(~hex_to_int("h").eqNullSafe(F.col("d"))).count() == 0
+    plan = rows.select(hex_to_int("h"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal(20,0)) / " not in plan
