@@ -74,3 +74,10 @@ def test_wide_hex_takes_as_few_limbs_as_it_needs(spark):
     assert rows.where(~hex_to_int("h").eqNullSafe(F.col("d"))).count() == 0
     plan = rows.select(hex_to_int("h"))._jdf.queryExecution().optimizedPlan().toString()
     assert "decimal(20,0)) / " not in plan
+
+
+def test_lines_are_shuffled_once_for_the_documents(spark, tmp_path):
+    c = Chain(spark, _chain_tables(spark, str(tmp_path)))
+    plan = c.docs._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert keys and not any("l_suppkey" in k for k in keys)
