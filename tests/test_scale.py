@@ -37,17 +37,18 @@ def test_raw_files_are_compressed_and_whole(spark, tmp_path):
     assert c.bronze("traces").count() == 80  # one block of three is delivered twice
 
 
-def test_stored_frames_leave_no_shuffle_files(spark):
+def _shuffled(spark) -> int:
+    """Bytes of shuffle files there are now."""
     env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
-    roots = [str(p) for p in env.blockManager().diskBlockManager().localDirsString()]
+    return sum(os.path.getsize(os.path.join(at, n)) for r in env.blockManager().diskBlockManager().localDirsString()
+               for at, _, names in os.walk(str(r)) for n in names if n.startswith("shuffle_") and n.endswith(".data"))
+
 
-    def shuffled() -> int:
-        return sum(os.path.getsize(os.path.join(at, n)) for r in roots for at, _, names in os.walk(r)
-                   for n in names if n.startswith("shuffle_") and n.endswith(".data"))
-    before = shuffled()
+def test_stored_frames_leave_no_shuffle_files(spark):
+    before = _shuffled(spark)
     rows = spark.range(200_000).select((F.col("id") % 1000).alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
     out = store(rows.repartition(8, "k"))
-    assert shuffled() - before < 1_000_000  # 200,000 digests are some 8 MB
+    assert _shuffled(spark) - before < 1_000_000  # 200,000 digests are some 8 MB
     assert out.count() == 200_000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
 
@@ -81,3 +82,13 @@ def test_lines_are_shuffled_once_for_the_documents(spark, tmp_path):
     plan = c.docs._jdf.queryExecution().executedPlan().toString()
     keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
     assert keys and not any("l_suppkey" in k for k in keys)
+
+
+def test_checks_leave_no_shuffle_files(spark):
+    from ledgerlake.operators import checks as CK
+    from ledgerlake.plans.suites import Check, run_suite
+    rows = spark.range(200_000).select(F.md5(F.col("id").cast("string")).alias("v"))
+    before = _shuffled(spark)
+    out = run_suite(spark, {"t": rows}, [Check(f"unique {i}", "t", lambda t: CK.unique_on(t["t"], ["v"])) for i in range(2)])
+    assert [r["failures"] for r in out.collect()] == [0, 0]
+    assert _shuffled(spark) - before < 1_000_000
