@@ -13,7 +13,7 @@ from ..operators import intervals as IV
 from ..operators import setops as SO
 from ..operators.tree import flatten_tree
 from ..plans import ingest as IN
-from ..session import path_exists
+from ..session import path_exists, store
 from ..sources import read_raw, registered_files
 from ..sources.seed import Catalog, read_seed
 from ..streaming import heal_stream, ingest_stream, read_stream, work_dir
@@ -33,7 +33,9 @@ def _order_lines(spark, sf):
 
 
 def _write(lines, path):
-    lines.select("k", "line").repartition("k").write.partitionBy("k").mode("append").text(path)
+    """Files of 128,000 order keys each, from thousands that are all even or all odd."""
+    k = F.floor(F.col("k") / 256) * 2 + F.pmod("k", F.lit(2))
+    lines.select(k.alias("k"), "line").repartition("k").write.partitionBy("k").mode("append").text(path)
 
 
 @query("raw_registered", """
@@ -223,8 +225,11 @@ def q_failed_nodes(spark, sf):
     call = F.transform("a", lambda x, i: F.concat(F.lit('{"line":'), x["l_linenumber"].cast("string"), F.when(i == 0, ',"failed":null').otherwise(""), F.lit("}")))
     doc = F.parse_json(F.concat(F.lit('{"calls":['), F.array_join(call, ","), F.lit("]}")))
     n = flatten_tree(per.select("l_orderkey", doc.alias("doc")), "doc", ["l_orderkey"], skip_field="failed")
+    # read twice below, opened once
+    n = store(n.select("l_orderkey", "depth", "trace_index", "sub_traces", LF.jget("node", "$.line", "int").alias("l_linenumber"))
+              .where("depth = 0 or trace_index is null"), "nodes")
     root = n.where("depth = 0").select("l_orderkey", F.col("sub_traces").cast("bigint").alias("n_kept"))
-    return n.where("trace_index is null").select("l_orderkey", LF.jget("node", "$.line", "int").alias("l_linenumber")).join(root, "l_orderkey")
+    return n.where("trace_index is null").select("l_orderkey", "l_linenumber").join(root, "l_orderkey")
 
 
 @query("seed_schedules", """

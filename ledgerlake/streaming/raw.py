@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.json import jnode
 from ..functions.keys import path_partition_key
-from ..session import path_exists, store
+from ..session import path_exists, store, stored_once
 from ..sources.raw import RAW_ENTITIES, envelope_from_text, extract_key, resolve_block_number, unreadable
 
 QUARANTINE = "value string, file_name string, _inserted_timestamp timestamp_ntz, line_hash bigint, reason string"
@@ -50,10 +50,10 @@ def ingest_stream(spark: SparkSession, path: str, entity: str, bronze_path: str,
                   available_now: bool = True, max_files: int | None = None) -> tuple[DataFrame | None, DataFrame | None]:
     """Take in what is new below `path`; returns (bronze, quarantine) as they are then, None while nothing arrived."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        lines = store(batch, "stream")
-        good, bad = split_lines(lines, entity)
-        good.write.mode("overwrite").parquet(f"{bronze_path}/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+        with stored_once(batch, "stream") as lines:
+            good, bad = split_lines(lines, entity)
+            good.write.mode("overwrite").parquet(f"{bronze_path}/batch={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
     w = read_raw_stream(spark, path, max_files).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     w.start().awaitTermination()
