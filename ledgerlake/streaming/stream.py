@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.stored import read_table, upsert_table
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, stored_once
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -64,8 +64,9 @@ def upsert_stream(stream: DataFrame, table_path: str, keys: list[str], order, ch
     spark = stream.sparkSession
 
     def apply(batch: DataFrame, batch_id: int):
-        if not batch.isEmpty():
-            upsert_table(spark, table_path, _bucketed(batch, keys, buckets), keys, "bucket", order=order, competing=True)
+        with stored_once(batch, "stream") as came:  # a batch that is read again runs the stream's work again
+            if not came.isEmpty():
+                upsert_table(spark, table_path, _bucketed(came, keys, buckets), keys, "bucket", order=order, competing=True)
     _run(stream, "append", apply, checkpoint, available_now)
     return _table(spark, table_path)
 
@@ -78,8 +79,9 @@ def counters_stream(stream: DataFrame, key: str, value_cols: dict[str, object],
     agg = stream.groupBy(key).agg(*[expr.alias(name) for name, expr in value_cols.items()])
 
     def apply(batch: DataFrame, batch_id: int):
-        if not batch.isEmpty():
-            upsert_table(spark, table_path, _bucketed(batch, [key], buckets), key, "bucket")
+        with stored_once(batch, "stream") as came:  # a batch that is read again runs the stream's work again
+            if not came.isEmpty():
+                upsert_table(spark, table_path, _bucketed(came, [key], buckets), key, "bucket")
     _run(agg, "update", apply, checkpoint, available_now)
     return _table(spark, table_path)
 
