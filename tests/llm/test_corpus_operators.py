@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from array import array
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import (classifier, components, fingerprints, knn, lines, mixing, packing, pii, queries, runs,
                             simhash, tokens, warc)
+from ledgerlake.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -494,6 +496,54 @@ def test_line_dedup_finds_changed_words(spark):
         assert sum(found) >= 0.9 * len(found), (n, changed, sum(found), len(found))
 
 
+def test_edits_by_words_bound_the_edit_distance():
+    r = random.Random(7)
+    for _ in range(300):
+        a = [r.choice(("ab", "abc", "b", "cab")) for _ in range(r.randrange(1, 12))]
+        b = [w if r.random() < 0.8 else r.choice(("c", "ab", "bb")) for w in a if r.random() < 0.9] or ["a"]
+        assert lines.edits_by_words(a, b, 10**9) >= lines.edit_distance(" ".join(a), " ".join(b))
+    a = "one two three four five six".split()
+    assert lines.edits_by_words(a, a, 1) == 0 and lines.edits_by_words(a, a[:2] + a[3:], 9) == 6
+    assert lines.edits_by_words(a, a[:3] + ["x"] + a[3:], 9) == 2
+
+
+def test_line_dedup_compares_near_lines_only_and_leaves_nothing(spark, tmp_path):
+    r = random.Random(17)
+    letters = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    common = [letters(7) for _ in range(30)]  # two fifths of every line: SimHashes come within MAX_BITS by chance
+
+    def line():
+        return " ".join(r.choice(common) if r.random() < 0.4 else letters(6) for _ in range(80))
+    base = [line() for _ in range(120)]
+    norm = [lines.normalised_lines(x)[0] for x in base]
+    wide, sim = lines.wide_hashes(norm), lines.sketches(norm, np.array([len(x) for x in norm]))[0]
+    i, j = np.triu_indices(len(base), 1)
+    near = np.bitwise_count(sim[i] ^ sim[j]) <= lines.MAX_BITS
+    both = near & (np.bitwise_count(wide[i] ^ wide[j]).sum(1) <= lines.MAX_WIDE_BITS)
+    assert near.sum() > 500 and both.sum() < 0.2 * near.sum()
+    texts = [(k, x) for k, x in enumerate(base)] + [(500 + k, f"{base[0]} {chr(97 + k % 26) * (1 + k // 26)}") for k in range(40)]
+    root = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(root.glob("llm-*"))
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = {x["_row"].doc_id: x.n_dropped for x in lines.with_dropped(df).collect()}
+    assert [got[500 + k] for k in range(40)] == [1] * 40 and sum(got[k] for k in range(120)) == 0
+    assert len(set(root.glob("llm-*")) - before) <= 4  # the result, and groups that hold two numbers a line
+
+
+def test_runs_of_crowded_keys_and_columns_named_n(spark, monkeypatch):
+    monkeypatch.setattr(runs, "LIMIT", 4)
+    monkeypatch.setattr(runs, "BLOCK", 2)
+    df = spark.range(30).select((F.col("id") % 3).alias("key"), F.col("id").alias("h"), F.lit(1).alias("n"))
+    df = df.where("key < 2 or id < 7")  # 10, 10 and 2 rows
+
+    def chain(cols, starts):
+        return cols["h"][1:], cols["h"][:-1]
+    all_rows = runs.compare_runs(df, ["key"], chain, 2, crowded=lambda cols: (cols["key"], cols["h"])).collect()
+    assert {(r[0], r[1]) for r in all_rows} >= {(k, h) for k in (0, 1) for h in range(k, 30, 3)}
+    assert len(all_rows) in (21, 22)
+    assert runs.compare_runs(df, ["key"], lambda cols, starts: (cols["h"], cols["h"]), 2).distinct().count() == 22
+
+
 def test_line_dedup_odd_rows(spark, odd):
     out = lines.dedup_lines(odd)
     assert out.columns == odd.columns and out.count() == len(ODD)
