@@ -113,3 +113,50 @@ def test_leaves_and_failed_nodes_open_alike(spark):
            for r in n.withColumn("j", F.to_json("node")).collect()}
     assert got == {"ORIGIN": ('{"k":1}', 3, 0), "0": ('{"k":2}', 0, 1), "1": ('{"k":3}', 1, 2), "1_0": ('{"failed":null,"k":4}', 0, None),
                    "1_1": ('{"k":5}', 0, 3), "2": ("7", 0, 4)}
+
+
+def _bronze_traces(spark, docs):
+    """Bronze rows of (position, delivery's time, depth of the call chain, name of its root)."""
+    from ledgerlake.sources.raw import bronze, envelope_from_text
+    lines = []
+    for position, at, depth, name in docs:
+        tree = f'{{"n":"{name}","calls":[' + '{"calls":[' * depth + "]}" * depth + "]}"
+        lines.append((f'{{"partition_key":0,"value":{{"BLOCK_NUMBER":7,"array_index":{position}}},"metadata":{{}},'
+                      f'"data":{{"result":{tree}}}}}', at))
+    df = spark.createDataFrame(lines, "value string, at string")
+    return bronze(envelope_from_text(df, "value", inserted=F.col("at").cast("timestamp_ntz")), "traces")
+
+
+def test_the_latest_delivery_wins_whether_variant_holds_it_or_not(spark):
+    from ledgerlake.plans import silver
+    from ledgerlake.queries.chain import RUN_TS
+    early, late = "2024-01-01", "2024-01-02"
+    docs = [(0, early, 1, "a"), (0, late, 2, "b"), (1, early, 700, "c"), (1, late, 1, "d"), (2, early, 1, "e"), (2, late, 700, "f")]
+
+    def found(some):
+        n = silver.silver_traces(_bronze_traces(spark, some), RUN_TS)
+        n = n.groupBy("tx_position").agg(F.count(F.lit(1)).alias("n"), F.max(F.expr("try_variant_get(trace_json, '$.n', 'string')")).alias("name"))
+        return sorted(tuple(r) for r in n.collect())
+    assert found(docs) == [(0, 3, "b"), (1, 2, "d"), (2, 701, "f")]
+    assert found(docs[:2]) == [(0, 3, "b")]
+
+
+def test_raw_traces_are_parsed_for_deep_documents_once(spark, tmp_path):
+    from ledgerlake.plans import silver
+    from ledgerlake.queries.chain import RUN_TS
+    c = Chain(spark, _chain_tables(spark, str(tmp_path)))
+    plan = silver.silver_traces(c.bronze("traces"), RUN_TS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [value") == 3  # the branch of text documents reads the long lines alone
+    assert plan.count("$.result,") == 2  # a member is copied once, not again by every filter on it
+
+
+def test_children_of_a_level_are_opened_once(spark):
+    from ledgerlake.operators.tree import flatten_tree
+    depth = 20  # more levels than are opened of every document
+    text = "".join(f'{{"k":{i},"calls":[' for i in range(depth)) + '{"k":99}' + "]}" * depth
+    rows = spark.range(1).select("id", F.lit(text).alias("t")).repartition(2)
+    n = flatten_tree(rows.select("id", F.parse_json("t").alias("t")), "t", ["id"])
+    got = sorted((r["depth"], r["sub_traces"], r["trace_index"], r["j"]) for r in n.withColumn("j", F.to_json("node")).collect())
+    assert got == [*((i, 1, i, f'{{"k":{i}}}') for i in range(depth)), (depth, 0, depth, '{"k":99}')]
+    plan = n._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("$['calls'], ArrayType") <= 4
